@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference is a batch pipeline; it reads one table, has no streams,
+watermarks or stateful operators, so nothing here is built (see README).
+A fitted ``PipelineModel`` from ``riskloom.operators.models`` can still be
+applied to a streaming DataFrame with ``model.transform(stream_df)``.
+"""
