@@ -93,7 +93,7 @@ def forest_importance(spark, sf):
     from riskloom.operators.eda import top_importance
 
     p, train = _prepared(spark, sf)
-    rf = MD.random_forest_model(weight="weight").fit(train)
+    rf = MD.random_forest_model(weight="weight", n_estimators=100).fit(train)
     return top_importance(MD.feature_importance(rf, p.names).withColumnRenamed("importance", "Importance"))
 
 

@@ -130,9 +130,11 @@ def random_forest_model(label: str = "label", features: str = "features", weight
                         seed: int = config.RANDOM_STATE) -> RandomForestClassifier:
     """MD3: ``max_depth=None`` becomes our default depth (Spark caps at 30)."""
     depth = min(30, max_depth) if max_depth is not None else config.RF_DEFAULT_MAX_DEPTH
+    # more node statistics per pass and cached node ids: fewer passes over the data
     kw = dict(labelCol=label, featuresCol=features, numTrees=n_estimators, maxDepth=depth,
               minInstancesPerNode=min_samples_leaf, bootstrap=bootstrap, impurity=criterion,
-              featureSubsetStrategy="sqrt", seed=seed)
+              featureSubsetStrategy="sqrt", seed=seed, maxMemoryInMB=1024, cacheNodeIds=True,
+              checkpointInterval=10)
     if weight:
         kw["weightCol"] = weight
     return RandomForestClassifier(**kw)

@@ -20,7 +20,8 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 _SPARK2ARROW = {"bigint": "int64", "int": "int32", "double": "double", "string": "string",
-                "boolean": "bool", "float": "float", "smallint": "int16", "tinyint": "int8"}
+                "boolean": "bool", "float": "float", "smallint": "int16", "tinyint": "int8",
+                "timestamp_ntz": "timestamp[us]", "date": "date32[day]"}
 
 
 def _norm(v):
