@@ -125,7 +125,7 @@ def permutation_importance(spark, sf):
 def voting_evaluation(spark, sf):
     p, train = _prepared(spark, sf)
     fitted = {"lr": MD.logistic_model().fit(train),
-              "rf": MD.random_forest_model(weight="weight", n_estimators=100).fit(train)}
+              "rf": MD.random_forest_model(weight="weight", n_estimators=50).fit(train)}
     s = MD.score_with(fitted, p.test)
     soft = MD.voting(s, ["lr", "rf"], [0.2, 0.4]).withColumn("model", F.lit("soft"))
     hard = MD.voting(s, ["lr", "rf"], [0.2, 0.4], "hard").withColumn("model", F.lit("hard"))
@@ -136,7 +136,7 @@ def voting_evaluation(spark, sf):
 @register("stacking_evaluation", None, operators="MD12")
 def stacking_evaluation(spark, sf):
     p, train = _prepared(spark, sf)
-    est = {"lr": MD.logistic_model(), "rf": MD.random_forest_model(weight="weight", n_estimators=50)}
+    est = {"lr": MD.logistic_model(), "rf": MD.random_forest_model(weight="weight", n_estimators=20)}
     members, meta, names = MD.stacking(train, est)
     scored = MD.stack_score(p.test, members, meta, names).withColumn("label", F.col("label").cast("int"))
     return M.evaluate(scored)

@@ -108,7 +108,8 @@ class SkLogisticRegression(Estimator, HasFeaturesCol, HasLabelCol, _LRParams):
         lr = LogisticRegression(featuresCol=self.getFeaturesCol(), labelCol=self.getLabelCol(),
                                 weightCol="_w", regParam=reg,
                                 elasticNetParam=1.0 if self.getOrDefault(self.penalty) == "l1" else 0.0,
-                                standardization=False, maxIter=self.getOrDefault(self.maxIter))
+                                standardization=False, maxIter=self.getOrDefault(self.maxIter),
+                                tol=1e-4)  # the reference solver's default tolerance
         return lr.fit(data)
 
 

@@ -19,8 +19,10 @@ Plan, per column ``c``, without any all-pairs join:
   distance (``r = inf`` if fewer than k were found);
 * **phase 2** joins each receiver, per present coordinate ``j``, to the
   cells covering ``[x_j - r, x_j + r]``.  ``|x_j - y_j| <= d`` whenever ``j``
-  is present in both, so no donor within ``r`` is missed; a pair is kept
-  only at the first coordinate both rows share, so it is counted once;
+  is present in both, so no donor within ``r`` is missed; a pair is joined
+  only at the first coordinate both rows share (the donor's presence mask
+  over earlier coordinates is part of the join key), so it is generated
+  once;
 * a window over each receiver's (bounded) candidates keeps the k nearest.
 
 Work is proportional to the donors inside each receiver's band instead of
@@ -67,6 +69,21 @@ def _cell(j: Column, v: Column, grid) -> Column:
     return F.least(F.greatest(F.floor((v - lo) / w), F.lit(0)), n - 1)
 
 
+def _prefix_mask_sql(arr: str) -> str:
+    return (f"aggregate(sequence(0, _j), 0L, (acc, i) -> acc | "
+            f"IF(i < _j AND {arr}[i] IS NOT NULL, shiftleft(1L, i), 0L))")
+
+
+def _prefix_mask(arr: str) -> Column:
+    """Bit i set when coordinate i < _j is present (presence before this level)."""
+    return F.expr(_prefix_mask_sql(arr))
+
+
+def _allowed_masks(arr: str) -> Column:
+    """Donor prefix masks disjoint from the receiver's own prefix mask."""
+    return F.expr(f"filter(sequence(0L, shiftleft(1L, _j) - 1L), m -> (m & {_prefix_mask_sql(arr)}) = 0L)")
+
+
 def _distance(p: int):
     sq = F.zip_with("_x", "_dx", lambda a, b: F.when(a.isNotNull() & b.isNotNull(), (a - b) * (a - b)))
     present = F.size(F.filter(sq, lambda e: e.isNotNull()))
@@ -92,6 +109,7 @@ def knn_impute(df: DataFrame, key: str, cols: Sequence[str], k: int = 5,
                                F.posexplode("_x").alias("_j", "_v"))
                    .where(F.col("_v").isNotNull())
                    .withColumn("_cell", _cell(F.col("_j"), F.col("_v"), grid))
+                   .withColumn("_pm", _prefix_mask("_dx"))
                    .drop("_v"))
     dist, level = _distance(p)
     means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
@@ -103,13 +121,13 @@ def knn_impute(df: DataFrame, key: str, cols: Sequence[str], k: int = 5,
         cj = coords.index(c)
         recv = base.where(F.col(f"_t{i}").isNull()).select("_key", "_x")
         donors = donors_long.where(F.col(f"_t{i}").isNotNull() & (F.col("_j") != cj)).select(
-            "_dkey", "_dx", "_j", "_cell", F.col(f"_t{i}").alias("_val"))
+            "_dkey", "_dx", "_j", "_cell", "_pm", F.col(f"_t{i}").alias("_val"))
         # phase 1: radius from the receiver's first present coordinate +-1 cell
         lead = F.array_position(F.transform("_x", lambda e: e.isNotNull()), True) - 1
         r1 = recv.withColumn("_j", lead).where(F.col("_j") >= 0)
         r1 = r1.withColumn("_c0", _cell(F.col("_j"), F.element_at("_x", (F.col("_j") + 1).cast("int")), grid))
         r1 = r1.withColumn("_cell", F.explode(F.sequence(F.col("_c0") - 1, F.col("_c0") + 1))).drop("_c0")
-        cand1 = r1.join(donors, on=["_j", "_cell"]).select("_key", dist.alias("_d"))
+        cand1 = r1.join(donors.drop("_pm"), on=["_j", "_cell"]).select("_key", dist.alias("_d"))
         w1 = Window.partitionBy("_key").orderBy("_d")
         radius = (cand1.where(F.col("_d").isNotNull())
                   .withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") == k)
@@ -122,7 +140,10 @@ def knn_impute(df: DataFrame, key: str, cols: Sequence[str], k: int = 5,
         hi_c = F.when(F.col("_r").isNull(), _by_coord(F.col("_j"), [g[2] - 1 for g in grid], "long")
                       ).otherwise(_cell(F.col("_j"), F.col("_v") + F.col("_r"), grid))
         r2 = r2.withColumn("_cell", F.explode(F.sequence(lo_c.cast("long"), hi_c.cast("long"))))
-        cand = r2.join(donors, on=["_j", "_cell"]).withColumns({"_d": dist, "_lvl": level})
+        # a pair belongs to level j only if the donor lacks every earlier coordinate the
+        # receiver has: enumerate those donor presence masks and make them a join key
+        r2 = r2.withColumn("_pm", F.explode(_allowed_masks("_x")))
+        cand = r2.join(donors, on=["_j", "_cell", "_pm"]).withColumns({"_d": dist, "_lvl": level})
         cand = cand.where((F.col("_lvl") == F.col("_j")) & F.col("_d").isNotNull()
                           & (F.col("_r").isNull() | (F.col("_d") <= F.col("_r"))))
         w2 = Window.partitionBy("_key").orderBy("_d", "_dkey")

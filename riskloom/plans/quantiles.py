@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -54,7 +55,15 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     when ``by`` is empty.
     """
     by = list(by)
-    stacked = _stack(df, cols, by)
+    # several passes read the narrow stacked projection: keep it (spills to disk)
+    stacked = _stack(df, cols, by).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _quantiles(df, stacked, probs, by, bins, collect_limit, max_groups, max_passes)
+    finally:
+        stacked.unpersist()
+
+
+def _quantiles(df, stacked, probs, by, bins, collect_limit, max_groups, max_passes):
     keys = by + ["column_name"]
     stats = stacked.groupBy(*keys).agg(F.count("*").alias("n"), F.min("v").alias("lo"),
                                        F.max("v").alias("hi")).collect()
