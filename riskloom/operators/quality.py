@@ -87,10 +87,20 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
                     for c in cols])
     tall = df.select(*by, F.inline(arr)).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    moments = tall.groupBy(*by, "column_name").agg(
+    # one pass for the moments; its (bounded: groups x columns) rows also seed
+    # the quantile refinement, which then needs no statistics pass of its own
+    mrows = tall.groupBy(*by, "column_name").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max"))
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by)
+        F.min("v").alias("min"), F.max("v").alias("max")).collect()
+    seed = [{**{b: r[b] for b in by}, "column_name": r["column_name"], "n": r["count"],
+             "lo": r["min"], "hi": r["max"]} for r in mrows]
+    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by, stats=seed)
+    bfields = [f"{b} {df.schema[b].dataType.simpleString()}" for b in by]
+    moments = df.sparkSession.createDataFrame(
+        [(*[r[b] for b in by], r["column_name"], r["count"], r["mean"], r["std"], r["min"], r["max"])
+         for r in mrows],
+        ", ".join(bfields + ["column_name string", "count long", "mean double", "std double",
+                             "min double", "max double"]))
     rows = {}
     for (g, c, p), v in q.items():
         rows.setdefault((g, c), {})[p] = v

@@ -29,7 +29,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -47,7 +46,7 @@ def _stack(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     by: Sequence[str] = (), bins: int = 4096, collect_limit: int = 20_000,
-                    max_groups: int = 10_000, max_passes: int = 48) -> dict:
+                    max_groups: int = 10_000, max_passes: int = 48, stats=None) -> dict:
     """Exact interpolated quantiles.
 
     Returns ``{(group_tuple, column, p): value}``; groups or columns with no
@@ -55,18 +54,18 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
     when ``by`` is empty.
     """
     by = list(by)
-    # several passes read the narrow stacked projection: keep it (spills to disk)
-    stacked = _stack(df, cols, by).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return _quantiles(df, stacked, probs, by, bins, collect_limit, max_groups, max_passes)
-    finally:
-        stacked.unpersist()
+    # each pass re-scans the (pruned) source instead of materialising the
+    # column-stacked rows: a columnar scan is cheaper than caching k x n rows
+    stacked = _stack(df, cols, by)
+    return _quantiles(df, stacked, probs, by, bins, collect_limit, max_groups, max_passes, stats)
 
 
-def _quantiles(df, stacked, probs, by, bins, collect_limit, max_groups, max_passes):
+def _quantiles(df, stacked, probs, by, bins, collect_limit, max_groups, max_passes, stats=None):
+    """``stats``: optional precomputed rows with ``by..., column_name, n, lo, hi``."""
     keys = by + ["column_name"]
-    stats = stacked.groupBy(*keys).agg(F.count("*").alias("n"), F.min("v").alias("lo"),
-                                       F.max("v").alias("hi")).collect()
+    if stats is None:
+        stats = stacked.groupBy(*keys).agg(F.count("*").alias("n"), F.min("v").alias("lo"),
+                                           F.max("v").alias("hi")).collect()
     if len(stats) > max_groups:
         return _percentile_fallback(stacked, keys, probs, by)
 
