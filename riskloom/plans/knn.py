@@ -38,11 +38,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _grid(df: DataFrame, coords: Sequence[str], cell_target: int):
-    aggs = []
-    for c in coords:
-        aggs += [F.min(c).alias(f"lo_{c}"), F.max(c).alias(f"hi_{c}"), F.count(c).alias(f"n_{c}")]
-    r = df.agg(*aggs).first()
+def _stats(df: DataFrame, cols: Sequence[str]):
+    """One pass: row count and per-column count, min, max, mean."""
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.min(x).alias(f"lo_{c}"), F.max(x).alias(f"hi_{c}"), F.count(x).alias(f"n_{c}"),
+                 F.avg(x).alias(f"m_{c}")]
+    return df.agg(*aggs).first()
+
+
+def _grid(r, coords: Sequence[str], cell_target: int):
     grid = []
     for c in coords:
         lo, hi, n = r[f"lo_{c}"], r[f"hi_{c}"], r[f"n_{c}"]
@@ -98,9 +104,10 @@ def knn_impute(df: DataFrame, key: str, cols: Sequence[str], k: int = 5,
     """Impute every null in ``cols`` from its ``k`` nearest donors (see module doc)."""
     cols = list(cols)
     p = len(cols)
-    counts = df.agg(*[F.count(c).alias(c) for c in cols]).first()
+    st = _stats(df, cols)
+    counts = {c: st[f"n_{c}"] for c in cols}
     coords = sorted(cols, key=lambda c: -counts[c])  # most complete coordinate first
-    grid = _grid(df, coords, cell_target)
+    grid = _grid(st, coords, cell_target)
     x = F.array(*[F.col(c).cast("double") for c in coords])
     base = df.select(F.col(key).alias("_key"), x.alias("_x"),
                      *[F.col(c).cast("double").alias(f"_t{i}") for i, c in enumerate(cols)])
@@ -112,8 +119,8 @@ def knn_impute(df: DataFrame, key: str, cols: Sequence[str], k: int = 5,
                    .withColumn("_pm", _prefix_mask("_dx"))
                    .drop("_v"))
     dist, level = _distance(p)
-    means = df.agg(*[F.avg(c).alias(c) for c in cols]).first()
-    n_rows = df.count()
+    means = {c: st[f"m_{c}"] for c in cols}
+    n_rows = st["_rows"]
     parts = []
     for i, c in enumerate(cols):
         if counts[c] == n_rows:  # nothing to impute
