@@ -1,15 +1,18 @@
-"""SparkSession helpers.
+"""SparkSession helpers: test session, the shared folder and lineage cuts.
 
-Library code never creates its own session; it uses the active one.  The
-helpers here are for tests, the bench and command-line use.
+Library code never creates its own session; it uses the active one.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+_WRITTEN: list[tuple[SparkSession, str]] = []
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -30,29 +33,59 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    shared_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory, setting one only if unset.
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share (``spark.checkpoint.dir``).
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when nothing is configured (tests, local runs) a fresh
-    scratch folder is created.
+    A cluster must name it; a missing setting raises there, because a folder
+    of one machine would lose data.  Only a ``local`` master, where driver
+    and executors are one process, gets a scratch folder of its own.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    current = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if current:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    path = tempfile.mkdtemp(prefix="riskloom-ckpt-")
-    sc.setCheckpointDir(path)
-    return path
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="riskloom-ckpt-"))
+    return sc.getCheckpointDir()
+
+
+ensure_checkpoint_dir = shared_dir
 
 
-def cut_lineage(df):
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable (executor-loss safe) checkpoint; never ``localCheckpoint``."""
-    ensure_checkpoint_dir(df.sparkSession)
+    shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet below the shared folder and read back.
+
+    Cuts the lineage like a checkpoint, but keeps columnar pruning and
+    compression for tables that are read more than once.  The files go when
+    the driver ends.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark).rstrip('/')}/written-{uuid.uuid4().hex}"
+    if not _WRITTEN:
+        atexit.register(_remove)
+    _WRITTEN.append((spark, path))
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def _remove() -> None:
+    for spark, path in _WRITTEN:
+        try:
+            jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+            at = jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(hadoop).delete(at, True)
+        except Exception:  # noqa: BLE001 - the session has already gone; nothing is left to clean with
+            return
