@@ -9,10 +9,13 @@ import atexit
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 _WRITTEN: list[tuple[SparkSession, str]] = []
+_SHIPPED: set[str] = set()
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
@@ -81,6 +84,24 @@ def written(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Operators with Python tasks need it wherever the executors do not have the
+    package installed.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parent
+    path = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="riskloom-py-")), "riskloom_workers.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    sc.addPyFile(path)
+    _SHIPPED.add(sc.applicationId)
+
+
 def _remove() -> None:
     for spark, path in _WRITTEN:
         try:
