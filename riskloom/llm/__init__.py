@@ -1,5 +1 @@
 """Operators for training-data pipelines; nothing else in the library imports them."""
-
-from .catalog import ORACLES, QUERIES
-
-__all__ = ["ORACLES", "QUERIES"]

@@ -6,34 +6,73 @@ import functools
 import uuid
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from riskloom.session import ship_package
 
+from . import classifier, embeddings, mixing, quality_rules, sharding, simhash, substring
 from .common import table
 from .packing import pack_documents
 from .token_counts import token_counts
 from .token_store import read_tokens, store_path, write_tokens
 
 OVER_LIMIT = 1024
+SHARDS = [f"shard-{i:03d}" for i in range(128)]
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
-    return out.withColumn("over_limit", out.n_tokens > OVER_LIMIT)
+    return out.withColumn("over_limit", F.col("n_tokens") > OVER_LIMIT)
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.embedding_components(table(spark, sf_dir, "embeddings"))
+
+
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(table(spark, sf_dir, "documents")).drop("tk")
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    ranking = classifier.fit_on(docs.where(~held_out), labels.where(~held_out).select("doc_id", "quality"))
+    return classifier.score_documents(docs, ranking).withColumn("held_out", held_out)
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"))
 
 
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store_path(spark, f"tokens-{uuid.uuid4().hex}")
     write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"), end_id=2)
     return read_tokens(spark, path)
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(run)
     def call(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,11 +82,16 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
     return call
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {k: _query(f) for k, f in {
-    "op1_token_counts": op1_token_counts,
-    "op7_packing": op7_packing,
-    "op10_token_store": op10_token_store,
-}.items()}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in (
+    op1_token_counts, op2_embedding_dedup, op3_quality_rules, op4_quality_classifier, op5_sharding, op6_substring_dedup,
+    op7_packing, op8_mixing, op9_simhash, op10_token_store, pipeline)}
 
-#: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}
+#: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
+ORACLES: dict[str, str] = {
+    "op2_embedding_dedup": embeddings.components_sql(),
+    "op3_quality_rules": quality_rules.judge_sql(),
+    "op6_substring_dedup": substring.remove_repeats_sql(),
+    "op8_mixing": mixing.mix_sql(),
+}
+if corpus_pipeline.ORACLE_SQL is not None:
+    ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL

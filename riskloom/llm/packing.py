@@ -66,34 +66,44 @@ def knapsack(value: np.ndarray, units: int) -> tuple[float, np.ndarray]:
     return float(best[units]), counts
 
 
-def patterns(demand: np.ndarray, units: int) -> tuple[np.ndarray, np.ndarray]:
-    """(patterns as rows of counts by class, uses) of the cutting-stock program's optimum."""
+def refined(inverse: np.ndarray, basis: np.ndarray) -> np.ndarray:
+    """One Newton step on an inverse that many updates have worn (einsum: no threads on a busy driver)."""
+    return 2 * inverse - np.einsum("ij,jk,kl->il", inverse, basis, inverse, optimize=["einsum_path", (0, 1), (0, 1)])
+
+
+def patterns(demand: np.ndarray, units: int, gap: float = 3e-4) -> tuple[np.ndarray, np.ndarray]:
+    """(patterns as rows of counts by class, uses) of the cutting-stock program.
+
+    Columns are added until the duals prove that no solution is better by more
+    than the share ``gap`` of the sequences, or by half a sequence.
+    """
     size = np.flatnonzero(demand) + 1
     n = len(size)
     if not n:
         return np.zeros((0, len(demand)), dtype=np.int64), np.zeros(0)
     d = demand[size - 1].astype(float)
     basis = np.diag((units // size).astype(float))  # columns are patterns
-    inverse, value = np.linalg.inv(basis), np.zeros(int(size.max()))
+    inverse, value = np.diag(1 / np.diag(basis)), np.zeros(int(size.max()))
     for step in range(40 * n + 100):
         dual = inverse.sum(axis=0)  # every pattern costs one sequence
         value[:] = 0
         value[size - 1] = np.maximum(dual, 0)
         worth, counts = knapsack(value, units)
-        if worth <= 1 + 1e-7:
+        x = (inverse * d).sum(axis=1)
+        bound = value[size - 1] @ d / max(worth, 1)
+        if worth <= 1 + 1e-7 or x.sum() - bound <= max(0.5, gap * bound):
             break
         column = counts[size - 1].astype(float)
-        x, y = inverse @ d, inverse @ column
+        y = (inverse * column).sum(axis=1)
         ratio = np.where(y > 1e-9, np.maximum(x, 0) / np.where(y > 1e-9, y, 1), np.inf)
         leave = int(ratio.argmin())
         basis[:, leave] = column
-        if step % 50 == 49:
-            inverse = np.linalg.inv(basis)
-        else:
-            row = inverse[leave] / y[leave]
-            inverse = inverse - np.outer(y, row)
-            inverse[leave] = row
-    x = np.maximum(np.linalg.solve(basis, d), 0)
+        row = inverse[leave] / y[leave]
+        inverse = inverse - y[:, None] * row
+        inverse[leave] = row
+        if step % 200 == 199:
+            inverse = refined(inverse, basis)
+    x = np.maximum((refined(inverse, basis) * d).sum(axis=1), 0)
     out = np.zeros((n, len(demand)), dtype=np.int64)
     out[:, size - 1] = basis.T.round().astype(np.int64)
     return out, x

@@ -6,9 +6,9 @@ only pre-token frequencies, and no token id is kept anywhere:
 1. Each block of documents (bounded in bytes) becomes one row: its distinct
    pre-tokens, and per document the frequencies over them as compressed
    integers.
-2. Distinct pre-tokens of all blocks are counted once each by the library.
-3. The counts are joined to every block's pre-tokens, brought back to the
-   block and multiplied with the documents' frequencies.
+2. The blocks' pre-tokens are shuffled and sorted by pre-token, so that the
+   library counts each distinct one once, in a streaming pass.
+3. The counts join their block's frequencies and are multiplied with them.
 
 The shuffles carry distinct pre-tokens of blocks, not words of documents.  A
 pre-token that every document holds is there once a block.
@@ -35,7 +35,7 @@ from .tokens import load
 BLOCKS = pa.schema([("block", pa.int64()), ("words", pa.list_(pa.string())), ("doc_id", pa.list_(pa.int64())),
                     ("n_bytes", pa.list_(pa.int64())), ("n_distinct", pa.list_(pa.int64())),
                     ("n_special", pa.list_(pa.int64())), ("at", pa.binary()), ("freq", pa.binary())])
-COUNTED = pa.schema([("word", pa.string()), ("n", pa.int32())])
+COUNTED = pa.schema([("of_block", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())])
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_tokens", pa.int64())])
 
 #: Latin text without the characters that Python's and the library's classes tell apart.
@@ -72,21 +72,35 @@ class PreTokens:
         return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
 
 
+def pack(xs: list[np.ndarray]) -> bytes:
+    """Unsigned 32-bit integers as compressed planes of equal bytes."""
+    flat = np.concatenate([np.zeros(0, "<u4"), *xs]).astype("<u4")
+    return pa.compress(flat.view(np.uint8).reshape(-1, 4).T.tobytes(), codec="zstd", asbytes=True)
+
+
+def unpack(packed: bytes, n: int) -> np.ndarray:
+    if not n:
+        return np.zeros(0, "<u4")
+    planes = np.frombuffer(pa.decompress(packed, 4 * n, codec="zstd", asbytes=True), np.uint8).reshape(4, n)
+    return np.ascontiguousarray(planes.T).view("<u4").reshape(n)
+
+
 def _blocks(path: str, block_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, number = PreTokens(path).split, 0
-        for batch in slices(batches, block_bytes):
+        for batch in _gathered(slices(batches, block_bytes), block_bytes):
             vocabulary: dict[str, int] = {}
             at, freq, n_distinct, n_special, n_bytes = [], [], [], [], []
             for raw in utf8(batch.column("text")):
                 pieces, special = split(raw.decode("utf-8", "replace"))
                 counts = Counter(pieces)
-                at.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in counts], dtype="<u4"))
-                freq.append(np.array(list(counts.values()), dtype="<u4"))
+                places = np.array([vocabulary.setdefault(w, len(vocabulary)) for w in counts], dtype=np.int64)
+                order = np.argsort(places)
+                at.append(np.diff(places[order], prepend=0))
+                freq.append(np.array(list(counts.values()), dtype=np.int64)[order])
                 n_distinct.append(len(counts))
                 n_special.append(special)
                 n_bytes.append(len(raw))
-            pack = lambda xs: pa.compress(np.concatenate(xs).tobytes(), codec="zstd", asbytes=True)
             yield record(BLOCKS, block=[(TaskContext.get().partitionId() << 32) + number], words=[list(vocabulary)],
                          doc_id=[batch.column("doc_id").to_pylist()], n_bytes=[n_bytes], n_distinct=[n_distinct],
                          n_special=[n_special], at=[pack(at)], freq=[pack(freq)])
@@ -95,13 +109,32 @@ def _blocks(path: str, block_bytes: int):
     return run
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], block_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to ``block_bytes``."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if held and sum(b.nbytes for b in held) + batch.nbytes > block_bytes:
+            yield pa.concat_batches(held)
+            held = []
+        held.append(batch)
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _count(path: str):
+    """Counts of rows that come sorted by word: each distinct word goes to the library once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tok = load(path)
+        tok, last, last_n = load(path), None, 0
         for batch in batches:
-            words = batch.column("word").to_pylist()
-            n = [len(e.ids) for e in tok.encode_batch_fast(words, add_special_tokens=False)]
-            yield record(COUNTED, word=words, n=n)
+            words = batch.column("word").dictionary_encode()
+            distinct = words.dictionary.to_pylist()
+            known = bool(distinct) and distinct[0] == last
+            n = [len(e.ids) for e in tok.encode_batch_fast(distinct[known:], add_special_tokens=False)]
+            n = [last_n] * known + n
+            if distinct:
+                last, last_n = distinct[-1], n[-1]
+            yield record(COUNTED, of_block=batch.column("block"), pos=batch.column("pos"),
+                         n=np.array(n, dtype=np.int32)[words.indices.to_numpy()])
 
     return run
 
@@ -111,9 +144,10 @@ def _sum(block: pa.Table, counted: pa.Table) -> pa.Table:
     n = np.zeros(counted.num_rows, dtype=np.int64)
     n[counted.column("pos").to_numpy()] = counted.column("n").to_numpy()
     sizes = np.array(row["n_distinct"], dtype=np.int64)
-    unpack = lambda x: np.frombuffer(pa.decompress(x, 4 * int(sizes.sum()), codec="zstd", asbytes=True), "<u4")
-    total = np.concatenate([[0], np.cumsum(n[unpack(row["at"])] * unpack(row["freq"]))]) if sizes.sum() else np.zeros(1, dtype=np.int64)
-    ends = np.cumsum(sizes)
+    ends, entries = np.cumsum(sizes), int(sizes.sum())
+    steps = np.concatenate([[0], np.cumsum(unpack(row["at"], entries), dtype=np.int64)])
+    places = steps[1:] - np.repeat(steps[ends - sizes], sizes)
+    total = np.concatenate([[0], np.cumsum(n[places] * unpack(row["freq"], entries))])
     n_tokens = total[ends] - total[ends - sizes] + np.array(row["n_special"], dtype=np.int64)
     return pa.table({"doc_id": row["doc_id"], "n_bytes": row["n_bytes"], "n_tokens": n_tokens}, schema=RESULT)
 
@@ -136,8 +170,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", t
               "n_special array<long>, at binary, freq binary")
     blocks = written(rows.mapInArrow(_blocks(tokenizer_path, block_bytes), schema))
     words = blocks.select("block", F.posexplode("words").alias("pos", "word"))
-    counts = words.select("word").distinct().mapInArrow(_count(tokenizer_path), "word string, n int")
-    counted = words.join(counts, "word").select(F.col("block").alias("of_block"), "pos", "n")
-
+    counted = (words.repartition("word").sortWithinPartitions("word")
+               .mapInArrow(_count(tokenizer_path), "of_block long, pos int, n int"))
     return (blocks.drop("words").groupBy("block").cogroup(counted.groupBy("of_block"))
             .applyInArrow(_sum, "doc_id long, n_bytes long, n_tokens long"))
