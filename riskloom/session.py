@@ -68,7 +68,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """``df`` written once as Parquet below the shared folder and read back.
 
     Cuts the lineage like a checkpoint, but keeps columnar pruning and
@@ -80,7 +80,7 @@ def written(df: DataFrame) -> DataFrame:
     if not _WRITTEN:
         atexit.register(_remove)
     _WRITTEN.append((spark, path))
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
