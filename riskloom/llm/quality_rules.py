@@ -124,7 +124,8 @@ def judge(docs: DataFrame, min_docs: int = 20, host_share: float = 0.05, max_rem
     copies = lines.groupBy("tk").agg(F.count("*").alias("copies"))
     removed = removed.join(copies, "tk").select("tk", (F.col("words") / F.col("copies")).cast("long").alias("n_common_words"), "common")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return (base_counts(rows).join(removed if with_common else removed.drop("common"), "tk", "left")
+    counts = written(base_counts(rows))  # else a filter on the verdict would be pushed into the arrays' expressions
+    return (counts.join(removed if with_common else removed.drop("common"), "tk", "left")
             .withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0).cast("long")))
             .withColumn("base_failed", failed)
             .withColumn("kept", ~failed & (F.col("n_common_words") <= max_removed * F.col("n_words"))))

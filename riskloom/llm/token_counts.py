@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from riskloom.session import written
 
 from .common import record, slices, utf8
-from .tokens import load
+from .tokens import byte_level, load
 
 BLOCKS = pa.schema([("block", pa.int64()), ("words", pa.list_(pa.string())), ("doc_id", pa.list_(pa.int64())),
                     ("n_bytes", pa.list_(pa.int64())), ("n_distinct", pa.list_(pa.int64())),
@@ -129,7 +129,7 @@ def _count(path: str):
             words = batch.column("word").dictionary_encode()
             distinct = words.dictionary.to_pylist()
             known = bool(distinct) and distinct[0] == last
-            n = [len(e.ids) for e in tok.encode_batch_fast(distinct[known:], add_special_tokens=False)]
+            n = [len(tok.model.tokenize(byte_level(word))) for word in distinct[known:]]
             n = [last_n] * known + n
             if distinct:
                 last, last_n = distinct[-1], n[-1]

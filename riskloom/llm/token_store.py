@@ -173,7 +173,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
     gives no shard.  ``block`` is at most 65,535.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange("doc_id", "text").sortWithinPartitions("doc_id", "text")
+    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
     (rows.mapInArrow(_write(tokenizer_path, end_id, shard_ids, block, percentile),
                      "part int, shard int, start long, n_ids long, doc_id array<long>, payload binary")
      .write.option("compression", "none").parquet(path))

@@ -12,13 +12,15 @@ from __future__ import annotations
 import functools
 import json
 import os
-
-import numpy as np
+import struct
+import unicodedata
 
 #: The splitting rule (fixed value of the file format) that never crosses white space.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: Marks that form one piece of their own after a word character.
 MARKS = b".,;:!?|)"
+#: Below this, letters keep their case rules in every version of Unicode, and lowering one gives one letter.
+LATIN_END = "\u0130"
 
 
 @functools.cache
@@ -47,32 +49,60 @@ def by_word(path: str) -> bool:
     )
 
 
+def _byte_names() -> dict[int, str]:
+    """The character that stands for each byte in byte-level vocabularies: itself if printable Latin-1, else 256 on."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in shown]
+    return {**{b: chr(b) for b in shown}, **{b: chr(256 + k) for k, b in enumerate(others)}}
+
+
+BYTE_NAMES = _byte_names()
+
+
+def byte_level(text: str) -> str:
+    """A text as byte-level models see it."""
+    return text.encode("utf-8", "replace").decode("latin-1").translate(BYTE_NAMES)
+
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class DocEncoder(dict):
     """Ids of texts as little-endian unsigned 32-bit integers in bytes.
 
-    As a dict it holds the ids of the words met last; after ``room`` words it
-    starts anew, so a worker's memory is bounded whatever the corpus holds.
+    As a dict it holds the ids of words met lately.  After ``room`` words it
+    starts anew, and words of the last round come back from it at first sight,
+    so a worker's memory is bounded whatever the corpus holds.
     """
 
     def __init__(self, path: str, room: int = 400_000) -> None:
         super().__init__()
-        self.tok, self.words, self.room = load(path), by_word(path), room
+        self.tok, self.words, self.room, self.old = load(path), by_word(path), room, {}
         self.special = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
         self.mark = os.path.commonprefix(self.special) if self.special else b"\0"
 
     def whole(self, raw: bytes) -> bytes:
-        ids = self.tok.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+        return packed(self.tok.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids)
 
-    def __missing__(self, word: bytes) -> bytes:
+    def fresh(self, word: bytes) -> bytes:
         base = word.rstrip(MARKS)
         if len(base) < len(word) and base[-1:].isalnum():  # the marks are a piece of their own
-            ids = self[base] + self[word[len(base):]]
-        elif word.isalpha() and self.mark not in word:  # ASCII letters: one piece, no other rule applies
-            ids = np.array([t.id for t in self.tok.model.tokenize(word.lower().decode())], dtype="<u4").tobytes()
-        else:
-            ids = self.whole(word)
+            return self[base] + self[word[len(base):]]
+        if self.mark not in word:
+            text = word.decode("utf-8", "replace")
+            if not text.isascii():
+                text = unicodedata.normalize("NFC", text)
+            if text.isalpha() and max(text) < LATIN_END:  # letters only: one piece, and lower case is letter by letter
+                return packed([t.id for t in self.tok.model.tokenize(byte_level(text.lower()))])
+        return self.whole(word)
+
+    def __missing__(self, word: bytes) -> bytes:
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.fresh(word)
         if len(self) >= self.room:
+            self.old = dict(self)
             self.clear()
         self[word] = ids
         return ids
