@@ -10,7 +10,6 @@ and on a cluster-sized table.  Sub-packages:
                   balancing, models, tuning, metrics, fairness, EDA tables
 * ``plans``     - reusable scalable plan fragments (exact quantiles,
                   bucketed ranks and running sums, banded KNN join)
-* ``streaming`` - intentionally empty (the reference has no streams)
 """
 
 __version__ = "0.1.0"

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from riskloom import config
 from riskloom.catalog.q_features import _cut_sql, _yn
 from riskloom.catalog.registry import register, view, view_sql
-from riskloom.functions.expr import yes_no
 from riskloom.operators import eda as E
 from riskloom.operators import features as FE
 
@@ -128,6 +126,3 @@ def kde_density(spark, sf):
           ["q1", "median", "q3", "iqr"], "AN8")
 def box_stats(spark, sf):
     return E.box_stats(view(spark, sf, "patients"), "cholesterol_level", "heart_disease_status")
-
-
-__all__ = ["F", "yes_no"]

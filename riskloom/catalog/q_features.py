@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from itertools import combinations, combinations_with_replacement
 
-from pyspark.sql import functions as F
 
 from riskloom import config
 from riskloom.catalog.registry import register, view, view_sql
@@ -184,6 +183,3 @@ def risk_clusters(spark, sf):
           + f" AS risk_factor_count FROM {P} AS p", operators="FE13")
 def risk_factor_count(spark, sf):
     return FE.risk_factor_count(view(spark, sf, "patients")).select("risk_factor_count")
-
-
-__all__ = ["F"]

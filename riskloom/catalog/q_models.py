@@ -6,7 +6,6 @@ Model fits have no SQL twin, so most entries are rows-only; the encoders
 
 from __future__ import annotations
 
-from functools import lru_cache
 
 from pyspark.sql import functions as F
 
@@ -209,6 +208,3 @@ def workflow_reports(spark, sf):
                            "Random Forest": MD.random_forest_model(weight="weight", n_estimators=100),
                            "XGBoost": MD.boosting_model(n_estimators=30)})
     return reps["test_model_comparison_optimized"]
-
-
-__all__ = ["lru_cache"]

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
 from riskloom import config
 from riskloom.catalog.registry import register, table, view, view_sql
@@ -39,15 +38,15 @@ def missing_only(spark, sf):
 @register("duplicate_count",
           "SELECT CAST(sum(n) AS BIGINT) AS n_rows, count(*) AS n_unique, "
           "CAST(sum(n) AS BIGINT) - count(*) AS n_duplicates "
-          "FROM (SELECT event_type, value, count(*) AS n FROM events GROUP BY ALL) AS g",
+          "FROM (SELECT COLUMNS(*), count(*) AS n FROM events GROUP BY ALL) AS g",
           operators="DQ2")
 def duplicate_count(spark, sf):
-    return Q.duplicate_count(table(spark, sf, "events").select("event_type", "value"))
+    return Q.duplicate_count(table(spark, sf, "events"))
 
 
-@register("drop_duplicates", "SELECT DISTINCT event_type, value FROM events", operators="DQ3")
+@register("drop_duplicates", "SELECT DISTINCT * FROM events", operators="DQ3")
 def drop_duplicates(spark, sf):
-    return Q.drop_duplicates(table(spark, sf, "events").select("event_type", "value"))
+    return Q.drop_duplicates(table(spark, sf, "events"))
 
 
 _describe_sql = " UNION ALL ".join(
@@ -124,6 +123,3 @@ def imbalance_ratio(spark, sf):
 def missing_after_cleaning(spark, sf):
     ev = view(spark, sf, "events_n")
     return Q.missing_profile(Q.drop_duplicates(ev))
-
-
-__all__ = ["F"]

@@ -1,8 +1,7 @@
 """Defaults and rule sets.
 
 Column names are snake_case versions of the reference dataset's display
-names (``Blood Pressure`` -> ``blood_pressure``); ``DISPLAY_NAMES`` maps
-back.  Operators never hard-code these names: they take them as arguments
+names (``Blood Pressure`` -> ``blood_pressure``).  Operators never hard-code these names: they take them as arguments
 with the values below as defaults, so every operator runs on any table.
 """
 
@@ -109,7 +108,6 @@ XGBOOST_GRID = {
     "min_child_weight": [1, 3, 5],
     "scale_pos_weight": [1, 4, 5],
 }
-SMOTE_PARAMS = {"random_state": RANDOM_STATE, "k_neighbors": 5}
 
 # Library random searches (20 draws from these spaces)
 RANDOM_SEARCH_DRAWS = 20
@@ -141,10 +139,6 @@ GB_SEARCH_SPACE = {
 }
 LR_TUNE_C = [0.001, 0.01, 0.1, 1, 10, 100]
 
-# t quantile (0.975, df) for the CV confidence interval; df = folds - 1
-T_975 = {1: 12.706205, 2: 4.302653, 3: 3.182446, 4: 2.776445, 5: 2.570582,
-         6: 2.446912, 7: 2.364624, 8: 2.306004, 9: 2.262157, 10: 2.228139}
-
 # ---------------------------------------------------------------------------
 # Our own defaults (not from the reference)
 # ---------------------------------------------------------------------------
@@ -153,21 +147,3 @@ T_975 = {1: 12.706205, 2: 4.302653, 3: 3.182446, 4: 2.776445, 5: 2.570582,
 RF_DEFAULT_MAX_DEPTH = 15
 # Rows per bucket in the two-level rank / running-sum plans.
 ROWS_PER_BUCKET = 1 << 20
-# Largest broadcast side we accept without a fallback (rows).
-BROADCAST_ROW_LIMIT = 200_000
-
-DISPLAY_NAMES = {
-    "age": "Age", "blood_pressure": "Blood Pressure",
-    "cholesterol_level": "Cholesterol Level", "bmi": "BMI",
-    "sleep_hours": "Sleep Hours", "triglyceride_level": "Triglyceride Level",
-    "fasting_blood_sugar": "Fasting Blood Sugar", "crp_level": "CRP Level",
-    "homocysteine_level": "Homocysteine Level", "gender": "Gender",
-    "exercise_habits": "Exercise Habits", "smoking": "Smoking",
-    "family_heart_disease": "Family Heart Disease", "diabetes": "Diabetes",
-    "high_blood_pressure": "High Blood Pressure",
-    "low_hdl_cholesterol": "Low HDL Cholesterol",
-    "high_ldl_cholesterol": "High LDL Cholesterol",
-    "alcohol_consumption": "Alcohol Consumption", "stress_level": "Stress Level",
-    "sugar_consumption": "Sugar Consumption",
-    "heart_disease_status": "Heart Disease Status",
-}

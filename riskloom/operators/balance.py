@@ -7,7 +7,6 @@ executors.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -147,6 +146,3 @@ def smote(df: DataFrame, label: str, features: str, key: str, k_neighbors: int =
             out_cols.append(F.lit(None).cast(df.schema[c].dataType).alias(c))
     synthetic = draws.select(*out_cols, F.lit(1).alias("synthetic"))
     return base.unionByName(synthetic)
-
-
-__all__ = ["math"]

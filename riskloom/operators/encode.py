@@ -162,21 +162,18 @@ def select_features_with_model(df: DataFrame, label: str, features: str = "featu
                                num_trees: int = 100, seed: int = 42):
     """EN6: keep vector slots whose forest importance >= threshold (at most ``max_features``).
 
-    Returns ``(sliced_df, kept_indices)``; on failure the input is returned unchanged.
+    Returns ``(sliced_df, kept_indices)``; a failing fit raises.
     """
     from pyspark.ml.classification import RandomForestClassifier
 
-    try:
-        rf = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=num_trees, seed=seed)
-        imp = rf.fit(df).featureImportances.toArray()
-        cut = imp.mean() if threshold == "mean" else float(threshold)
-        keep = [i for i in range(len(imp)) if imp[i] >= cut]
-        if max_features is not None:
-            keep = sorted(sorted(keep, key=lambda i: -imp[i])[:max_features])
-        sliced = VectorSlicer(inputCol=features, outputCol=f"{features}__sel", indices=keep).transform(df)
-        return sliced.drop(features).withColumnRenamed(f"{features}__sel", features), keep
-    except Exception:  # noqa: BLE001 - the reference returns the input on any failure
-        return df, None
+    rf = RandomForestClassifier(labelCol=label, featuresCol=features, numTrees=num_trees, seed=seed)
+    imp = rf.fit(df).featureImportances.toArray()
+    cut = imp.mean() if threshold == "mean" else float(threshold)
+    keep = [i for i in range(len(imp)) if imp[i] >= cut]
+    if max_features is not None:
+        keep = sorted(sorted(keep, key=lambda i: -imp[i])[:max_features])
+    sliced = VectorSlicer(inputCol=features, outputCol=f"{features}__sel", indices=keep).transform(df)
+    return sliced.drop(features).withColumnRenamed(f"{features}__sel", features), keep
 
 
 def select_features_with_rfe(df: DataFrame, label: str, feature_cols: Sequence[str], fold: str = "fold",

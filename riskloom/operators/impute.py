@@ -27,6 +27,12 @@ from riskloom.plans.quantiles import exact_median
 from riskloom.session import cut_lineage
 
 
+def _nan_to_null(df: DataFrame) -> DataFrame:
+    """One rule for missing: NaN counts as NULL in every imputer, as in the profile."""
+    floats = [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
+    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floats}) if floats else df
+
+
 def null_counts(df: DataFrame, cols: Sequence[str]) -> dict[str, int]:
     if not cols:
         return {}
@@ -68,6 +74,7 @@ def _missing_cols(df, cols):
 
 def simple_imputation(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """IM1: numeric -> median, string -> mode."""
+    df = _nan_to_null(df)
     num, _ = _missing_cols(df, numeric_columns(df, exclude))
     cat, _ = _missing_cols(df, string_columns(df, exclude))
     values = dict(exact_median(df, num)) if num else {}
@@ -91,6 +98,7 @@ def knn_imputation(df: DataFrame, n_neighbors: int = 5, key: str | None = None,
     ``key`` must identify rows (after de-duplication a hash of all columns
     does, which is the default).
     """
+    df = _nan_to_null(df)
     cat, _ = _missing_cols(df, string_columns(df, exclude))
     out = fill(df, mode_values(df, cat))
     num = numeric_columns(out, exclude)
@@ -119,6 +127,7 @@ def mice_imputation(df: DataFrame, max_iter: int = 10, tol: float = 1e-3, lam: f
     ``tol`` times the largest observed magnitude.  Each round ends with a
     reliable checkpoint so the lineage does not grow.
     """
+    df = _nan_to_null(df)
     cat, _ = _missing_cols(df, string_columns(df, exclude))
     out = fill(df, mode_values(df, cat))
     num = numeric_columns(out, exclude)
@@ -168,6 +177,7 @@ def mice_imputation(df: DataFrame, max_iter: int = 10, tol: float = 1e-3, lam: f
 
 def indicator_imputation(df: DataFrame, exclude: Sequence[str] = ()) -> DataFrame:
     """IM4: ``<col>_missing`` 0/1 for each column with nulls, then median/mode."""
+    df = _nan_to_null(df)
     num, _ = _missing_cols(df, numeric_columns(df, exclude))
     cat, _ = _missing_cols(df, string_columns(df, exclude))
     flagged = df.withColumns({f"{c}_missing": F.col(c).isNull().cast("int") for c in num + cat})
@@ -184,6 +194,7 @@ def advanced_imputation(df: DataFrame, missingness_threshold: float = 0.2, key:
     ``0 < share < threshold`` -> k-NN over just those columns; numerics with
     ``share >= threshold`` -> median.
     """
+    df = _nan_to_null(df)
     cols = [c for c in df.columns if c not in set(exclude)]
     n = df.count()
     nc = null_counts(df, cols)

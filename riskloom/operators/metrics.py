@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskloom import config
-from riskloom.plans.running import running_totals
+from riskloom.plans.running import null_safe_join, running_totals
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -78,8 +78,7 @@ def curve_points(df: DataFrame, label: str = "label", score: str = "score",
     cum = running_totals(pts, by, [("threshold", False)],
                          {"cum_tp": F.col("tp_at"), "cum_fp": F.col("fp_at")}, n_rows=n_rows)
     totals = pts.groupBy(*by).agg(F.sum("tp_at").alias("n_pos"), F.sum("fp_at").alias("n_neg"))
-    # totals has one row per group (models x slices): broadcast-sized.
-    out = cum.join(F.broadcast(totals), on=by, how="inner")
+    out = null_safe_join(cum, totals, by)
     P, N = F.col("n_pos"), F.col("n_neg")
     return out.withColumns({
         "tpr": F.when(P > 0, F.col("cum_tp") / P),
@@ -124,7 +123,7 @@ def evaluate(df: DataFrame, label: str = "label", pred: str = "prediction",
     m = rates(confusion(df, label, pred, by), beta)
     if score is not None:
         aucs = auc_from_points(curve_points(df, label, score, by), by)
-        m = m.join(aucs, on=by, how="left")
+        m = null_safe_join(m, aucs, by, "left")
     cols = ["accuracy", "recall", "precision", "f1", "f_beta", "true_positives",
             "true_negatives", "false_positives", "false_negatives"]
     if score is not None:

@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskloom.plans.quantiles import exact_quantiles
+from riskloom.plans.quantiles import quantile_table
+from riskloom.plans.running import null_safe_join
 
 
 def _missing(df: DataFrame, name: str) -> Column:
@@ -80,38 +81,20 @@ def describe(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> Data
     """DQ4: count, mean, std (n-1), min, 25/50/75% (interpolated), max.
 
     Tall output ``(by..., column_name, count, mean, std, min, q25, q50, q75, max)``.
-    Moments come from one grouped aggregation; the quartiles from
-    ``exact_quantiles`` (histogram refinement, no whole-group collect).
+    Moments come from one grouped aggregation, the quartiles from
+    ``quantile_table``; a null group is a group.
     """
     by = list(by)
     arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
                     for c in cols])
     tall = df.select(*by, F.inline(arr)).where(F.col("v").isNotNull() & ~F.isnan("v"))
-    # one pass for the moments; its (bounded: groups x columns) rows also seed
-    # the quantile refinement, which then needs no statistics pass of its own
-    mrows = tall.groupBy(*by, "column_name").agg(
+    moments = tall.groupBy(*by, "column_name").agg(
         F.count("v").alias("count"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"),
-        F.min("v").alias("min"), F.max("v").alias("max")).collect()
-    seed = [{**{b: r[b] for b in by}, "column_name": r["column_name"], "n": r["count"],
-             "lo": r["min"], "hi": r["max"]} for r in mrows]
-    q = exact_quantiles(df, cols, [0.25, 0.5, 0.75], by, stats=seed)
-    bfields = [f"{b} {df.schema[b].dataType.simpleString()}" for b in by]
-    moments = df.sparkSession.createDataFrame(
-        [(*[r[b] for b in by], r["column_name"], r["count"], r["mean"], r["std"], r["min"], r["max"])
-         for r in mrows],
-        ", ".join(bfields + ["column_name string", "count long", "mean double", "std double",
-                             "min double", "max double"]))
-    rows = {}
-    for (g, c, p), v in q.items():
-        rows.setdefault((g, c), {})[p] = v
-    fields = [f"{b} {df.schema[b].dataType.simpleString()}" for b in by]
-    ddl = ", ".join(fields + ["column_name string", "q25 double", "q50 double", "q75 double"])
-    qdf = df.sparkSession.createDataFrame(
-        [(*g, c, d[0.25], d[0.5], d[0.75]) for (g, c), d in rows.items()], ddl)
-    cond = [moments["column_name"] == qdf["column_name"]] + [moments[b].eqNullSafe(qdf[b]) for b in by]
-    return moments.join(F.broadcast(qdf), cond, "left").select(
-        *[moments[b] for b in by], moments["column_name"], "count", "mean", "std", "min",
-        "q25", "q50", "q75", "max")
+        F.min("v").alias("min"), F.max("v").alias("max"))
+    quartiles = quantile_table(df, cols, [0.25, 0.5, 0.75], by).drop("n").withColumnsRenamed(
+        {"q0": "q25", "q1": "q50", "q2": "q75"})
+    return null_safe_join(moments, quartiles, [*by, "column_name"], "left").select(
+        *by, "column_name", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def value_counts(df: DataFrame, col: str, dropna: bool = False,

@@ -1,27 +1,19 @@
-"""Exact quantiles without collecting a group into one task.
-
-Spark's exact ``percentile``/``median`` keeps a value->count map of a whole
-group in one task; on a continuous column with billions of rows per group
-that does not fit.  ``exact_quantiles`` instead narrows the answer with
-histogram passes:
-
-1. one aggregation gives ``n``, ``min`` and ``max`` per (group, column);
-2. for every needed order statistic (rank ``floor`` and ``ceil`` of
-   ``p * (n - 1)``) a pass counts the rows of its current value interval
-   in ``bins`` equal-width bins, keeping each bin's min and max; the bin
-   holding the rank becomes the new interval ``[bin_min, bin_max]``
-   (bins are monotone in the value, so that interval holds exactly the
-   bin's rows);
-3. once an interval holds at most ``collect_limit`` rows, or a single
-   value, those rows are fetched and the rank is read off directly.
-
-Each pass is a scan joined to a small broadcast table of targets plus a
-partial-aggregated group-by, so the work is distributed and the driver only
-sees ``targets x bins`` counts.  Results equal linear interpolation
-(pandas/numpy default, DuckDB ``quantile_cont``, Spark ``percentile``).
-
-For many small groups (more than ``max_groups``) the per-group state is
-small by definition, and Spark's ``percentile`` aggregate is used instead.
+"""Exact quantiles without a whole group in one task or any row on the driver.
+
+Spark's exact ``percentile`` keeps a value->count map of a whole group in one
+task.  Here the rows are reduced to counts per (group, column, value), and
+running counts over the ordered values tell which value holds each rank:
+
+1. every column is cut into buckets at approximate percentiles (the cuts
+   only balance the work; the result does not depend on them);
+2. running counts are taken within (group, column, bucket) and shifted by the
+   totals of the buckets before;
+3. the values at the ranks ``floor`` and ``ceil`` of ``p * (n - 1)`` are
+   interpolated.
+
+Everything stays a DataFrame, for any number of groups.  Results equal linear
+interpolation (pandas/numpy default, DuckDB ``quantile_cont``, Spark
+``percentile``).
 """
 
 from __future__ import annotations
@@ -29,165 +21,62 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-def _stack(df: DataFrame, cols: Sequence[str], by: Sequence[str]) -> DataFrame:
-    """(by..., column_name, v) for non-null, non-NaN values."""
-    if len(cols) == 1:
-        stacked = df.select(*[F.col(b) for b in by], F.lit(cols[0]).alias("column_name"),
-                            F.col(cols[0]).cast("double").alias("v"))
-    else:
-        arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
-                        for c in cols])
-        stacked = df.select(*[F.col(b) for b in by], F.inline(arr))
-    return stacked.where(F.col("v").isNotNull() & ~F.isnan("v"))
-
-
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    by: Sequence[str] = (), bins: int = 4096, collect_limit: int = 20_000,
-                    max_groups: int = 10_000, max_passes: int = 48, stats=None) -> dict:
-    """Exact interpolated quantiles.
-
-    Returns ``{(group_tuple, column, p): value}``; groups or columns with no
-    values are absent (callers treat that as null).  ``group_tuple`` is ``()``
-    when ``by`` is empty.
-    """
-    by = list(by)
-    # each pass re-scans the (pruned) source instead of materialising the
-    # column-stacked rows: a columnar scan is cheaper than caching k x n rows
-    stacked = _stack(df, cols, by)
-    return _quantiles(df, stacked, probs, by, bins, collect_limit, max_groups, max_passes, stats)
-
-
-def _quantiles(df, stacked, probs, by, bins, collect_limit, max_groups, max_passes, stats=None):
-    """``stats``: optional precomputed rows with ``by..., column_name, n, lo, hi``."""
-    keys = by + ["column_name"]
-    if stats is None:
-        stats = stacked.groupBy(*keys).agg(F.count("*").alias("n"), F.min("v").alias("lo"),
-                                           F.max("v").alias("hi")).collect()
-    if len(stats) > max_groups:
-        return _percentile_fallback(stacked, keys, probs, by)
-
-    # targets: (group, column, rank) -> state [a, b, below, count_in]
-    targets: dict[tuple, list] = {}
-    wanted: list[tuple] = []
-    for r in stats:
-        g = tuple(r[b] for b in by)
-        n = r["n"]
-        for p in probs:
-            pos = p * (n - 1)
-            lo_r, hi_r = math.floor(pos), math.ceil(pos)
-            wanted.append((g, r["column_name"], p, pos, lo_r, hi_r))
-            for rank in (lo_r, hi_r):
-                targets.setdefault((g, r["column_name"], rank), [r["lo"], r["hi"], 0, n])
-
-    found: dict[tuple, float] = {}
-    spark = df.sparkSession
-    for _ in range(max_passes):
-        open_t = {}
-        for t, (a, b, below, cnt) in targets.items():
-            if t in found:
-                continue
-            if a == b:
-                found[t] = a
-            else:
-                open_t[t] = (a, b, below, cnt)
-        if not open_t:
-            break
-        small = {t: s for t, s in open_t.items() if s[3] <= collect_limit}
-        big = {t: s for t, s in open_t.items() if s[3] > collect_limit}
-        if small:
-            _finish_by_collect(spark, stacked, by, small, found)
-        if not big:
-            break
-        _refine(spark, stacked, by, big, targets, bins)
-    else:  # pragma: no cover - pathological value distributions
-        rest = {t: s for t, s in targets.items() if t not in found}
-        _finish_by_collect(spark, stacked, by, rest, found)
-
-    out = {}
-    for g, c, p, pos, lo_r, hi_r in wanted:
-        v_lo, v_hi = found[(g, c, lo_r)], found[(g, c, hi_r)]
-        out[(g, c, p)] = v_lo + (pos - lo_r) * (v_hi - v_lo)
-    return out
-
-
-def _targets_frame(spark, by, items, stacked):
-    """Small driver-built table of open targets (bounded by #targets)."""
-    fields = [f"_by{i} {stacked.schema[b].dataType.simpleString()}" for i, b in enumerate(by)]
-    _targets_ddl = ", ".join(fields + ["column_name string", "tid int", "a double", "b double"])
-    rows = []
-    for tid, ((g, c, _rank), (a, b, _below, _cnt)) in enumerate(items):
-        rows.append((*g, c, tid, float(a), float(b)))
-    return spark.createDataFrame(rows, _targets_ddl) if rows else None
-
-
-def _joined(stacked, by, tframe):
-    cond = [stacked["column_name"] == tframe["column_name"]]
-    cond += [stacked[b].eqNullSafe(tframe[f"_by{i}"]) for i, b in enumerate(by)]
-    j = stacked.join(F.broadcast(tframe), cond)
-    return j.where((stacked["v"] >= tframe["a"]) & (stacked["v"] <= tframe["b"]))
-
-
-def _refine(spark, stacked, by, big, targets, bins):
-    items = list(big.items())
-    tframe = _targets_frame(spark, by, items, stacked)
-    j = _joined(stacked, by, tframe)
-    width = (F.col("b") - F.col("a")) / F.lit(float(bins))
-    binexpr = F.least(F.floor((F.col("v") - F.col("a")) / width), F.lit(bins - 1)).cast("int")
-    hist = (j.select("tid", stacked["v"], binexpr.alias("bin"))
-            .groupBy("tid", "bin")
-            .agg(F.count("*").alias("n"), F.min("v").alias("mn"), F.max("v").alias("mx"))
-            .collect())
-    per_t: dict[int, list] = {}
-    for r in hist:
-        per_t.setdefault(r["tid"], []).append((r["bin"], r["n"], r["mn"], r["mx"]))
-    for tid, (t, (_a, _b, below, _cnt)) in enumerate(items):
-        rank = t[2]
-        acc = below
-        for _bin, n, mn, mx in sorted(per_t.get(tid, [])):
-            if rank < acc + n:
-                targets[t] = [mn, mx, acc, n]
-                break
-            acc += n
-
-
-def _finish_by_collect(spark, stacked, by, small, found):
-    items = list(small.items())
-    tframe = _targets_frame(spark, by, items, stacked)
-    j = _joined(stacked, by, tframe)
-    rows = j.select("tid", stacked["v"]).collect()
-    per_t: dict[int, list] = {}
-    for r in rows:
-        per_t.setdefault(r["tid"], []).append(r["v"])
-    for tid, (t, (_a, _b, below, _cnt)) in enumerate(items):
-        vals = sorted(per_t.get(tid, []))
-        found[t] = vals[t[2] - below]
-
-
-def _percentile_fallback(stacked, keys, probs, by):
-    rows = stacked.groupBy(*keys).agg(
-        F.percentile("v", F.array(*[F.lit(float(p)) for p in probs])).alias("q")).collect()
-    out = {}
-    for r in rows:
-        g = tuple(r[b] for b in by)
-        for p, v in zip(probs, r["q"]):
-            out[(g, r["column_name"], p)] = v
-    return out
+from riskloom import config
+from riskloom.plans.running import null_safe_join
+
+
+def _stacked(df: DataFrame, cols: Sequence[str], by: Sequence[str], rows_per_bucket: int) -> DataFrame:
+    """(by..., column_name, v, bucket) for non-null, non-NaN values."""
+    wide = df.select(*by, *[F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")).alias(f"_v{i}")
+                            for i, c in enumerate(cols)])
+    values = [f"_v{i}" for i in range(len(cols))]
+    n_buckets = math.ceil(df.count() / rows_per_bucket)
+    buckets = [F.lit(0)] * len(cols)
+    if n_buckets > 1:
+        probs = [i / n_buckets for i in range(1, n_buckets)]
+        cuts = wide.agg(*[F.percentile_approx(v, probs, max(10_000, 20 * n_buckets)).alias(v) for v in values]).first()
+        splits = [[-math.inf, *sorted(set(cuts[v] or [])), math.inf] for v in values]
+        wide = Bucketizer(splitsArray=splits, inputCols=values, outputCols=[f"{v}_b" for v in values],
+                          handleInvalid="keep").transform(wide)
+        buckets = [F.col(f"{v}_b").cast("int") for v in values]
+    rows = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(v).alias("v"), b.alias("bucket"))
+                     for c, v, b in zip(cols, values, buckets)])
+    return wide.select(*by, F.inline(rows)).where(F.col("v").isNotNull())
+
+
+def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float], by: Sequence[str] = (),
+                   rows_per_bucket: int = config.ROWS_PER_BUCKET) -> DataFrame:
+    """``(by..., column_name, n, q0, q1, ...)``, a row per group and column with values."""
+    keys = [*by, "column_name"]
+    counts = _stacked(df, cols, by, rows_per_bucket).groupBy(*keys, "bucket", "v").agg(F.count("*").alias("c"))
+    local = Window.partitionBy(*keys, "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = counts.withColumn("upto", F.sum("c").over(local))
+    totals = counts.groupBy(*keys, "bucket").agg(F.sum("c").alias("c"))
+    group = Window.partitionBy(*keys)
+    before = group.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    shifts = totals.select(*keys, "bucket", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("shift"),
+                           F.sum("c").over(group).alias("n"))
+    placed = null_safe_join(running, shifts, [*keys, "bucket"]).withColumn("upto", F.col("upto") + F.col("shift"))
+
+    def at(rank):
+        return F.max(F.when((F.col("upto") - F.col("c") <= rank) & (rank < F.col("upto")), F.col("v")))
+
+    ranks = [F.lit(float(p)) * (F.col("n") - 1) for p in probs]
+    picked = placed.groupBy(*keys).agg(
+        F.first("n").alias("n"),
+        *[at(F.floor(r)).alias(f"lo{i}") for i, r in enumerate(ranks)],
+        *[at(F.ceil(r)).alias(f"hi{i}") for i, r in enumerate(ranks)])
+    return picked.select(*keys, "n", *[
+        (F.col(f"lo{i}") + (r - F.floor(r)) * (F.col(f"hi{i}") - F.col(f"lo{i}"))).alias(f"q{i}")
+        for i, r in enumerate(ranks)])
 
 
 def exact_median(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Interpolated median per column (``{column: value}``; all-null -> absent)."""
-    q = exact_quantiles(df, cols, [0.5])
-    return {c: v for ((_, c, _p), v) in q.items()}
-
-
-def quantile_frame(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                   by: Sequence[str] = ()) -> DataFrame:
-    """Quantiles as a small DataFrame ``(by..., column_name, p, value)``."""
-    q = exact_quantiles(df, cols, probs, by)
-    rows = [(*g, c, float(p), float(v)) for (g, c, p), v in q.items()]
-    fields = [f"{b} {df.schema[b].dataType.simpleString()}" for b in by]
-    ddl = ", ".join(fields + ["column_name string", "p double", "value double"])
-    return df.sparkSession.createDataFrame(rows, ddl)
+    """Interpolated median per column (``{column: value}``; all-null -> absent).  A row per column is fetched."""
+    if not cols:
+        return {}
+    return {r["column_name"]: r["q0"] for r in quantile_table(df, cols, [0.5]).collect()}

@@ -34,9 +34,16 @@ def _order_cols(order: Sequence[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).asc() if asc else F.col(c).desc() for c, asc in order]
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL matches NULL; the keys come once, from ``left``."""
+    renamed = right.withColumnsRenamed({k: f"_right_{k}" for k in keys})
+    cond = [F.col(k).eqNullSafe(F.col(f"_right_{k}")) for k in keys]
+    return left.join(renamed, cond, how).drop(*[f"_right_{k}" for k in keys])
+
+
 def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str, bool]],
                    sums: dict[str, Column], rows_per_bucket: int | None = None,
-                   n_rows: int | None = None, max_buckets: int = 4096) -> DataFrame:
+                   n_rows: int | None = None) -> DataFrame:
     """Add inclusive running sums ``sums`` over ``order`` within ``by``.
 
     ``order`` is a list of ``(column, ascending)``; it should be unique per
@@ -47,7 +54,7 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str,
     rows_per_bucket = rows_per_bucket or config.ROWS_PER_BUCKET
     if n_rows is None:
         n_rows = df.count()
-    n_buckets = max(1, min(max_buckets, math.ceil(n_rows / rows_per_bucket)))
+    n_buckets = max(1, math.ceil(n_rows / rows_per_bucket))
     k0, asc0 = order[0]
     keyed = df.withColumn(_K, F.col(k0).cast("double") * F.lit(1.0 if asc0 else -1.0))
     for name, expr in sums.items():
@@ -79,9 +86,8 @@ def running_totals(df: DataFrame, by: Sequence[str], order: Sequence[tuple[str,
                   .rowsBetween(Window.unboundedPreceding, -1))
         offsets = totals.select(*part, *[F.coalesce(F.sum(f"_t_{n}").over(prev_w), F.lit(0))
                                          .alias(f"_o_{n}") for n in sums])
-        # offsets has (#groups x #buckets) rows; buckets are capped, groups are
-        # the strata of the caller (labels, slices), so it is broadcast-sized.
-        out = local.join(F.broadcast(offsets), on=part, how="left")
+        # a row per group and bucket; NULL is a group like any other
+        out = null_safe_join(local, offsets, part, "left")
         for name in sums:
             out = out.withColumn(name, F.col(name) + F.coalesce(F.col(f"_o_{name}"), F.lit(0)))
     drop = [_K, _B] + [f"_v_{n}" for n in sums] + [f"_o_{n}" for n in sums]

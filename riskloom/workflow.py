@@ -24,6 +24,7 @@ from riskloom.operators import models as MD
 from riskloom.operators.fairness import compute_slice_metrics
 from riskloom.operators.split import stratified_folds, stratified_split, train_test
 from riskloom.session import cut_lineage
+from riskloom.sources.io import export_report
 
 
 @dataclass
@@ -37,19 +38,21 @@ class Prepared:
 def prepare(df: DataFrame, target: str = config.TARGET, method: str = "simple",
             polynomial: bool = True, test_size: float = config.TEST_SIZE) -> Prepared:
     """Clean, derive features, split exactly, fit the preprocessing on train only."""
-    clean = IM.clean_data(df, method, target, drop_null_target=True, exclude_target=True)
+    # the key comes from the rows as they are: once imputed, different rows may be equal
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    keyed = df.withColumn("row_key", F.concat_ws("-", F.hex(F.xxhash64(*cols)), F.hex(F.xxhash64(F.lit("riskloom"), *cols))))
+    options = {"key": "row_key"} if method in ("knn", "advanced") else {}
+    clean = IM.clean_data(keyed, method, target, drop_null_target=True, exclude_target=True, **options)
     feats = FE.engineer_features(clean) if polynomial else FE.compute_lipid_ratio(
         FE.create_interaction_features(FE.create_age_bands(clean)))
     feats = feats.withColumn("label", F.col(target).cast("double")).drop(target)
-    key_cols = [c for c in feats.columns if c != "label"]
-    feats = feats.withColumn("row_key", F.xxhash64(*[F.col(f"`{c}`") for c in key_cols]))
     split = stratified_split(feats, "label", ["row_key"], test_size)
     split = stratified_folds(split, "label", ["row_key"], config.CV_FOLDS)
     # materialise once (reliable checkpoint): every fit below re-reads this
     split = cut_lineage(split)
     train, test = train_test(split)
     num = numeric_columns(train, exclude=["label", "row_key", "fold"])
-    cat = string_columns(train, exclude=["label"])
+    cat = string_columns(train, exclude=["label", "row_key"])
     pre = EN.preprocessing_pipeline(num, cat).fit(train)
     train_x = pre.transform(train).select("row_key", "label", "fold", "features", *cat)
     test_x = pre.transform(test).select("row_key", "label", "fold", "features", *cat)
@@ -88,8 +91,8 @@ def run(df: DataFrame, target: str = config.TARGET, method: str = "simple", run_
     scored = MD.voting(scored, [short.get(n, n) for n in est],
                        [config.VOTING_WEIGHTS.get(n, 1.0) for n in est])
     scored = scored.withColumnsRenamed({"score": "score_vote", "prediction": "pred_vote"})
-    base = fitted_base.transform(test).select("row_key", F.col("score").alias("score_base"))
-    scored = scored.join(base, "row_key").withColumn("pred_base", F.lit(int(fitted_base.majority)))
+    scored = fitted_base.transform(scored).drop("probability").withColumnsRenamed(
+        {"score": "score_base", "prediction": "pred_base"})
     scored = scored.cache()
     models = [short.get(n, n) for n in est] + ["vote", "base"]
     long = None
@@ -123,4 +126,16 @@ def run(df: DataFrame, target: str = config.TARGET, method: str = "simple", run_
         reports["random_forest_feature_importance"] = MD.feature_importance(fitted["Random Forest"], prep.names)
     if "XGBoost" in fitted:
         reports["xgboost_feature_importance"] = MD.feature_importance(fitted["XGBoost"], prep.names)
+    # IO6: the best model's own table; the vote and the baseline have none
+    of_model = {"lr": "logistic_coefficients", "rf": "random_forest_feature_importance", "xgb": "xgboost_feature_importance"}
+    if of_model.get(best["model"]) in reports:
+        reports["best_model_importance"] = reports[of_model[best["model"]]]
     return reports
+
+
+def save_reports(reports: dict[str, DataFrame], path: str) -> None:
+    """IO4-IO6: every report as CSV below ``path``, the fairness table as markdown too."""
+    for name, table in reports.items():
+        export_report(table, f"{path}/{name}.csv", "csv")
+    if "fairness_report" in reports:
+        export_report(reports["fairness_report"], f"{path}/fairness_report.md", "markdown")

@@ -12,7 +12,7 @@ from riskloom.operators import impute as IM
 from riskloom.operators import metrics as M
 from riskloom.operators import models as MD
 from riskloom.operators import quality as Q
-from riskloom.plans.quantiles import exact_median, exact_quantiles
+from riskloom.plans.quantiles import exact_median, quantile_table
 
 
 def test_half_open_bins(spark):
@@ -37,16 +37,53 @@ def test_even_median_interpolates(spark):
     assert exact_median(df, ["v"]) == {"v": 2.5}
 
 
-def test_quantile_refinement_matches_numpy(spark):
+@pytest.mark.parametrize("rows_per_bucket", [1 << 20, 100])
+def test_quantiles_match_numpy(spark, rows_per_bucket):
     import numpy as np
 
     vals = [float(x) for x in np.random.default_rng(1).normal(size=3000).round(3)]
     df = spark.createDataFrame([(i % 3, v) for i, v in enumerate(vals)], "g int, v double")
-    q = exact_quantiles(df, ["v"], [0.1, 0.5, 0.9], by=["g"], bins=16, collect_limit=50)
+    df = df.withColumn("g", F.when(F.col("g") > 0, F.col("g")))  # a null group is a group
+    q = {r.g: r for r in quantile_table(df, ["v"], [0.1, 0.5, 0.9], ["g"], rows_per_bucket).collect()}
     for g in range(3):
         arr = np.array(vals[g::3])
-        for p in (0.1, 0.5, 0.9):
-            assert q[((g,), "v", p)] == pytest.approx(float(np.quantile(arr, p)), abs=1e-12)
+        for i, p in enumerate((0.1, 0.5, 0.9)):
+            assert q[g or None][f"q{i}"] == pytest.approx(float(np.quantile(arr, p)), abs=1e-12)
+
+
+@pytest.mark.parametrize("rows_per_bucket", [1 << 20, 3])
+def test_ranks_of_a_null_stratum(spark, rows_per_bucket):
+    from riskloom.plans.running import exact_rank
+
+    df = spark.createDataFrame([(None if i % 2 else 1, float(i)) for i in range(20)], "label int, v double")
+    got = exact_rank(df, ["label"], [("v", True)], rows_per_bucket=rows_per_bucket).collect()
+    for label in (None, 1):
+        ranked = sorted((r.v, r["rank"]) for r in got if r.label == label)
+        assert [n for _, n in ranked] == list(range(1, 11))
+
+
+def test_null_slice_keeps_its_areas(spark):
+    from riskloom.operators.fairness import compute_slice_metrics
+
+    rows = [(i % 2, i % 3 % 2, i / 20, None if i < 10 else "a") for i in range(20)]
+    df = spark.createDataFrame(rows, "label int, prediction int, score double, gender string")
+    got = {r.slice_name: r for r in compute_slice_metrics(df, slice_features=["gender"]).collect()}
+    assert got["gender_NaN"].slice_size == 10 and got["gender_NaN"].roc_auc is not None and got["gender_NaN"].pr_auc is not None
+
+
+def test_nan_is_missing_in_imputers(spark):
+    from riskloom.operators.impute import indicator_imputation, simple_imputation
+
+    df = spark.createDataFrame([(1.0,), (3.0,), (float("nan"),), (None,)], "v double")
+    assert sorted(r.v for r in simple_imputation(df).collect()) == [1.0, 2.0, 2.0, 3.0]
+    assert sum(r.v_missing for r in indicator_imputation(df).collect()) == 2
+
+
+@pytest.mark.parametrize("df,want", [(1, 12.706205), (4, 2.776445), (9, 2.262157), (29, 2.045230), (199, 1.971957)])
+def test_t_quantile(df, want):
+    from riskloom.operators.tune import t_quantile
+
+    assert t_quantile(0.975, df) == pytest.approx(want, abs=1e-5)
 
 
 def test_flat_column_scales_to_zero(spark):
