@@ -10,6 +10,10 @@ mean.  Distances use the original (un-imputed) values for every column.
 
 Plan, per column ``c``, without any all-pairs join:
 
+* receivers with equal coordinates have equal donors, so each distinct vector
+  is searched once; of donors with equal coordinates only the ``k`` smallest
+  keys can be chosen, so only those stay.  Ties in the data therefore cost
+  nothing, however many rows share a value;
 * every coordinate gets an equal-width grid sized so a cell holds about
   ``cell_target`` rows; donors are exploded once per present coordinate
   into ``(coordinate, cell)`` keys;
@@ -19,14 +23,15 @@ Plan, per column ``c``, without any all-pairs join:
   distance (``r = inf`` if fewer than k were found);
 * **phase 2** joins each receiver, per present coordinate ``j``, to the
   cells covering ``[x_j - r, x_j + r]``.  ``|x_j - y_j| <= d`` whenever ``j``
-  is present in both, so no donor within ``r`` is missed; a pair is joined
-  only at the first coordinate both rows share (the donor's presence mask
-  over earlier coordinates is part of the join key), so it is generated
-  once;
-* a window over each receiver's (bounded) candidates keeps the k nearest.
-
-Work is proportional to the donors inside each receiver's band instead of
-all donors; only receivers in empty regions (``r = inf``) scan every cell.
+  is present in both, so no donor within ``r`` is missed.  A pair counts only
+  at the first coordinate that both rows share: beyond the receiver's first
+  coordinate ``f``, only donors that lack ``f`` are joined (``f`` is part of
+  the join key), and the level is checked on the pair;
+* a window over each receiver's candidates keeps the k nearest.
+
+Work is proportional to the distinct donors inside each receiver's band; a
+receiver in an empty region (``r = inf``) scans every cell.  The exploded
+donors are at most quadratic in the number of columns.
 """
 
 from __future__ import annotations
@@ -75,19 +80,17 @@ def _cell(j: Column, v: Column, grid) -> Column:
     return F.least(F.greatest(F.floor((v - lo) / w), F.lit(0)), n - 1)
 
 
-def _prefix_mask_sql(arr: str) -> str:
-    return (f"aggregate(sequence(0, _j), 0L, (acc, i) -> acc | "
-            f"IF(i < _j AND {arr}[i] IS NOT NULL, shiftleft(1L, i), 0L))")
+def _vector_key(array: str) -> Column:
+    return F.concat_ws("|", F.transform(array, lambda v: F.coalesce(v.cast("string"), F.lit("~"))))
 
 
-def _prefix_mask(arr: str) -> Column:
-    """Bit i set when coordinate i < _j is present (presence before this level)."""
-    return F.expr(_prefix_mask_sql(arr))
-
-
-def _allowed_masks(arr: str) -> Column:
-    """Donor prefix masks disjoint from the receiver's own prefix mask."""
-    return F.expr(f"filter(sequence(0L, shiftleft(1L, _j) - 1L), m -> (m & {_prefix_mask_sql(arr)}) = 0L)")
+def _first_k(df: DataFrame, group: str, key: str, k: int, salts: int = 64) -> DataFrame:
+    """The ``k`` rows of the smallest ``key`` of each group; a large group is first cut down in ``salts`` parts."""
+    out = df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(salts)))
+    for part in ([group, "_salt"], [group]):
+        w = Window.partitionBy(*part).orderBy(key)
+        out = out.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k).drop("_rn")
+    return out.drop("_salt")
 
 
 def _distance(p: int):
@@ -111,13 +114,6 @@ def knn_impute(df: DataFrame, key: str, cols: Sequence[str], k: int = 5,
     x = F.array(*[F.col(c).cast("double") for c in coords])
     base = df.select(F.col(key).alias("_key"), x.alias("_x"),
                      *[F.col(c).cast("double").alias(f"_t{i}") for i, c in enumerate(cols)])
-    donors_long = (base.select(F.col("_key").alias("_dkey"), F.col("_x").alias("_dx"),
-                               *[F.col(f"_t{i}") for i in range(p)],
-                               F.posexplode("_x").alias("_j", "_v"))
-                   .where(F.col("_v").isNotNull())
-                   .withColumn("_cell", _cell(F.col("_j"), F.col("_v"), grid))
-                   .withColumn("_pm", _prefix_mask("_dx"))
-                   .drop("_v"))
     dist, level = _distance(p)
     means = {c: st[f"m_{c}"] for c in cols}
     n_rows = st["_rows"]
@@ -126,15 +122,20 @@ def knn_impute(df: DataFrame, key: str, cols: Sequence[str], k: int = 5,
         if counts[c] == n_rows:  # nothing to impute
             continue
         cj = coords.index(c)
-        recv = base.where(F.col(f"_t{i}").isNull()).select("_key", "_x")
-        donors = donors_long.where(F.col(f"_t{i}").isNotNull() & (F.col("_j") != cj)).select(
-            "_dkey", "_dx", "_j", "_cell", "_pm", F.col(f"_t{i}").alias("_val"))
+        missing = base.where(F.col(f"_t{i}").isNull()).select("_key", "_x", _vector_key("_x").alias("_vec"))
+        recv = missing.select(F.col("_vec").alias("_key"), "_x").dropDuplicates(["_key"])
+        known = base.where(F.col(f"_t{i}").isNotNull()).select(
+            F.col("_key").alias("_dkey"), F.transform("_x", lambda v, j: F.when(j != cj, v)).alias("_dx"),
+            F.col(f"_t{i}").alias("_val"))
+        known = _first_k(known.withColumn("_vec", _vector_key("_dx")), "_vec", "_dkey", k).drop("_vec")
+        donors = (known.select("*", F.posexplode("_dx").alias("_j", "_v")).where(F.col("_v").isNotNull())
+                  .withColumn("_cell", _cell(F.col("_j"), F.col("_v"), grid)).drop("_v"))
         # phase 1: radius from the receiver's first present coordinate +-1 cell
         lead = F.array_position(F.transform("_x", lambda e: e.isNotNull()), True) - 1
         r1 = recv.withColumn("_j", lead).where(F.col("_j") >= 0)
         r1 = r1.withColumn("_c0", _cell(F.col("_j"), F.element_at("_x", (F.col("_j") + 1).cast("int")), grid))
         r1 = r1.withColumn("_cell", F.explode(F.sequence(F.col("_c0") - 1, F.col("_c0") + 1))).drop("_c0")
-        cand1 = r1.join(donors.drop("_pm"), on=["_j", "_cell"]).select("_key", dist.alias("_d"))
+        cand1 = r1.join(donors, on=["_j", "_cell"]).select("_key", dist.alias("_d"))
         w1 = Window.partitionBy("_key").orderBy("_d")
         radius = (cand1.where(F.col("_d").isNotNull())
                   .withColumn("_rn", F.row_number().over(w1)).where(F.col("_rn") == k)
@@ -147,16 +148,16 @@ def knn_impute(df: DataFrame, key: str, cols: Sequence[str], k: int = 5,
         hi_c = F.when(F.col("_r").isNull(), _by_coord(F.col("_j"), [g[2] - 1 for g in grid], "long")
                       ).otherwise(_cell(F.col("_j"), F.col("_v") + F.col("_r"), grid))
         r2 = r2.withColumn("_cell", F.explode(F.sequence(lo_c.cast("long"), hi_c.cast("long"))))
-        # a pair belongs to level j only if the donor lacks every earlier coordinate the
-        # receiver has: enumerate those donor presence masks and make them a join key
-        r2 = r2.withColumn("_pm", F.explode(_allowed_masks("_x")))
-        cand = r2.join(donors, on=["_j", "_cell", "_pm"]).withColumns({"_d": dist, "_lvl": level})
+        # beyond the receiver's first coordinate only donors that lack it can share the pair's first one
+        lacking = donors.withColumn("_f", F.explode(F.expr("filter(sequence(0, _j), f -> f = _j OR _dx[f] IS NULL)")))
+        r2 = r2.withColumn("_f", lead.cast("int"))
+        cand = r2.join(lacking, on=["_j", "_cell", "_f"]).withColumns({"_d": dist, "_lvl": level})
         cand = cand.where((F.col("_lvl") == F.col("_j")) & F.col("_d").isNotNull()
                           & (F.col("_r").isNull() | (F.col("_d") <= F.col("_r"))))
         w2 = Window.partitionBy("_key").orderBy("_d", "_dkey")
         top = cand.withColumn("_rn", F.row_number().over(w2)).where(F.col("_rn") <= k)
         imputed = top.groupBy("_key").agg(F.avg("_val").alias("_imp"))
-        fill = recv.join(imputed, on="_key", how="left").select(
+        fill = missing.join(imputed.withColumnRenamed("_key", "_vec"), on="_vec", how="left").select(
             "_key", F.lit(i).alias("_col"),
             F.coalesce(F.col("_imp"), F.lit(means[c]).cast("double")).alias("_imp"))
         parts.append(fill)

@@ -219,3 +219,28 @@ def test_soft_vote_weights_select_one_model(spark):
     df = spark.createDataFrame([(0.9, 0.1), (0.2, 0.8)], "score_a double, score_b double")
     out = MD.voting(df, ["a", "b"], [1.0, 0.0]).collect()
     assert [r.score for r in out] == [0.9, 0.2] and [r.prediction for r in out] == [1, 0]
+
+
+@pytest.mark.parametrize("n_cols,levels", [(30, 1000), (3, 2)])
+def test_knn_equals_brute_force(spark, n_cols, levels):
+    """Many columns, and many ties."""
+    import random
+
+    from riskloom.plans.knn import knn_impute
+
+    rng = random.Random(n_cols)
+    rows = [(i, *[None if j in (0, 2, 20, 29) and rng.random() < 0.3 else float(rng.randrange(levels)) for j in range(n_cols)])
+            for i in range(70)]
+    cols = [f"c{j}" for j in range(n_cols)]
+    df = spark.createDataFrame(rows, "id long, " + ", ".join(f"{c} double" for c in cols))
+    got = {r.id: r for r in knn_impute(df, "id", cols, 3).collect()}
+    for r in rows[:25]:
+        for j in range(n_cols):
+            if r[1 + j] is None:
+                found = []
+                for d in rows:
+                    shared = [(a - b) ** 2 for a, b in zip(r[1:], d[1:]) if a is not None and b is not None]
+                    if d[1 + j] is not None and shared:
+                        found.append((math.sqrt(n_cols / len(shared) * sum(shared)), d[0], d[1 + j]))
+                near = [v for _, _, v in sorted(found)[:3]]
+                assert got[r[0]][1 + j] == pytest.approx(sum(near) / len(near))
