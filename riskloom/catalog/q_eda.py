@@ -75,6 +75,17 @@ def target_correlations(spark, sf):
     return E.target_correlations(patients_encoded(spark, sf), "heart_disease_status", NUM)
 
 
+_CORR = " UNION ALL ".join(f"SELECT '{c}' AS feature, corr({c}, {_Y}) AS correlation FROM {P} AS p" for c in NUM)
+
+
+@register("top_correlations",
+          f"WITH t AS ({_CORR}) SELECT * FROM (SELECT *, 'positive' AS direction FROM t WHERE correlation > 0 "
+          "ORDER BY correlation DESC LIMIT 5) AS a UNION ALL SELECT * FROM (SELECT *, 'negative' AS direction FROM t "
+          "WHERE correlation < 0 ORDER BY correlation LIMIT 5) AS b", ["correlation"], "AN5")
+def top_correlations(spark, sf):
+    return E.top_correlated(patients_encoded(spark, sf), "heart_disease_status", NUM)
+
+
 _HIST_SRC = f"(SELECT cholesterol_level AS x, heart_disease_status FROM {P} AS p WHERE cholesterol_level IS NOT NULL)"
 
 

@@ -39,6 +39,13 @@ def confusion_matrix(spark, sf):
     return M.confusion(long_scored(spark, sf), by=["model"])
 
 
+@register("apply_threshold",
+          f"SELECT label, score_mix, CASE WHEN score_mix >= 0.37 THEN 1 ELSE 0 END AS prediction FROM {S} AS s",
+          ["score_mix"], operators="MD13")
+def apply_threshold(spark, sf):
+    return M.apply_threshold(view(spark, sf, "scored").select("label", "score_mix"), "score_mix", 0.37)
+
+
 def _points_sql(src, by):
     k = ", ".join(by)
     return (f"WITH pts AS (SELECT {k}, score AS threshold, CAST(sum(label) AS BIGINT) AS tp_at, "

@@ -74,3 +74,11 @@ def smote(spark, sf):
         "vec_id", F.col("embedding").cast("array<double>").alias("embedding"),
         (F.col("label") == 0).cast("int").alias("label"))
     return BA.smote(emb, "label", "embedding", "vec_id", 5)
+
+
+@register("smote_class_counts",
+          "WITH c AS (SELECT CAST(coalesce(label = 0, false) AS INTEGER) AS label, count(*) AS n FROM embeddings GROUP BY 1) "
+          "SELECT label, (SELECT max(n) FROM c) AS n, (SELECT max(n) FROM c) - n AS n_synthetic FROM c", operators="BA1")
+def smote_class_counts(spark, sf):
+    return smote(spark, sf).groupBy("label").agg(
+        F.count("*").alias("n"), F.sum("synthetic").cast("long").alias("n_synthetic"))
