@@ -24,7 +24,7 @@ from riskloom.operators.features import encode_target
 from riskloom.operators.quality import drop_duplicates
 from riskloom.plans.knn import knn_impute
 from riskloom.plans.quantiles import exact_median
-from riskloom.session import cut_lineage
+from riskloom.session import cut_lineage, written
 
 
 def _nan_to_null(df: DataFrame) -> DataFrame:
@@ -238,5 +238,6 @@ def clean_data(df: DataFrame, method: str = "advanced", target: str | None = "he
         out = encode_target(out, target)
         if drop_null_target:
             out = out.where(F.col(target).isNotNull())
+    out = written(out)  # the imputers read it several times: de-duplicate once
     exclude = [target] if (exclude_target and target) else []
     return METHODS[method](out, exclude=exclude, **kw)

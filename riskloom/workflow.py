@@ -23,7 +23,7 @@ from riskloom.operators import metrics as M
 from riskloom.operators import models as MD
 from riskloom.operators.fairness import compute_slice_metrics
 from riskloom.operators.split import stratified_folds, stratified_split, train_test
-from riskloom.session import cut_lineage
+from riskloom.session import cut_lineage, written
 from riskloom.sources.io import export_report
 
 
@@ -54,8 +54,9 @@ def prepare(df: DataFrame, target: str = config.TARGET, method: str = "simple",
     num = numeric_columns(train, exclude=["label", "row_key", "fold"])
     cat = string_columns(train, exclude=["label", "row_key"])
     pre = EN.preprocessing_pipeline(num, cat).fit(train)
-    train_x = pre.transform(train).select("row_key", "label", "fold", "features", *cat)
-    test_x = pre.transform(test).select("row_key", "label", "fold", "features", *cat)
+    # every fit reads these: the encoded rows are written once, with their feature names
+    train_x, test_x = (written(pre.transform(part).select("row_key", "label", "fold", "features", *cat))
+                       for part in (train, test))
     return Prepared(train_x, test_x, EN.feature_names(train_x), pre)
 
 
