@@ -188,19 +188,31 @@ def misclassification_stats(spark, sf):
     return M.misclassification_stats(long_scored(spark, sf).where("model = 'score_mix'"), ["score"])
 
 
-_SLICE_SRC = " UNION ALL ".join(
-    f"SELECT '{f}' AS slice_feature, CAST({f} AS VARCHAR) AS slice_value, label, prediction, score "
-    f"FROM ({LONG_SQL}) AS l WHERE model = 'score_mix'" for f in ["l_linestatus", "qty_band"])
-
-
-@register("slice_metrics",
-          "SELECT e.slice_feature, e.slice_value, e.slice_feature || '_' || coalesce(e.slice_value, 'NaN') AS slice_name, "
-          "z.slice_size, e.recall, e.precision, e.f1, e.accuracy, e.f_beta, e.roc_auc, e.pr_auc, "
-          "e.false_negatives, e.false_positives FROM ("
-          + _evaluate_sql(_SLICE_SRC, ["slice_feature", "slice_value"]) + ") AS e JOIN ("
-          "SELECT slice_feature, slice_value, count(*) AS slice_size FROM (" + _SLICE_SRC
-          + ") AS s GROUP BY ALL) AS z ON e.slice_feature = z.slice_feature AND e.slice_value IS NOT DISTINCT FROM z.slice_value",
-          _METRIC_DOUBLES, "EV8")
+def _slice_src(columns: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"SELECT '{f}' AS slice_feature, CAST({expr} AS VARCHAR) AS slice_value, label, prediction, score "
+        f"FROM ({LONG_SQL}) AS l WHERE model = 'score_mix'" for f, expr in columns.items())
+
+
+def _slice_sql(src: str) -> str:
+    return ("SELECT e.slice_feature, e.slice_value, e.slice_feature || '_' || coalesce(e.slice_value, 'NaN') AS slice_name, "
+            "z.slice_size, e.recall, e.precision, e.f1, e.accuracy, e.f_beta, e.roc_auc, e.pr_auc, "
+            "e.false_negatives, e.false_positives FROM (" + _evaluate_sql(src, ["slice_feature", "slice_value"])
+            + ") AS e JOIN (SELECT slice_feature, slice_value, count(*) AS slice_size FROM (" + src
+            + ") AS s GROUP BY ALL) AS z ON e.slice_feature = z.slice_feature AND e.slice_value IS NOT DISTINCT FROM z.slice_value")
+
+
+_SLICE_SRC = _slice_src({"l_linestatus": "l_linestatus", "qty_band": "qty_band"})
+_NULL_BAND = "CASE WHEN qty_band <> 'q10-30' THEN qty_band END"
+
+
+@register("slice_metrics_null", _slice_sql(_slice_src({"band": _NULL_BAND})), _METRIC_DOUBLES, "EV8, PR6")
+def slice_metrics_null(spark, sf):
+    df = long_scored(spark, sf).where("model = 'score_mix'").withColumn("band", F.expr(_NULL_BAND))
+    return FA.compute_slice_metrics(df, slice_features=["band"])
+
+
+@register("slice_metrics", _slice_sql(_SLICE_SRC), _METRIC_DOUBLES, "EV8")
 def slice_metrics(spark, sf):
     df = long_scored(spark, sf).where("model = 'score_mix'")
     return FA.compute_slice_metrics(df, slice_features=["l_linestatus", "qty_band"])
