@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from riskloom import config
 from riskloom.catalog.registry import register, table, view, view_sql
 from riskloom.catalog.views import PATIENT_EXPRS
+from riskloom.operators import impute as IM
 from riskloom.operators import quality as Q
 
 P = view_sql("patients")
@@ -123,3 +125,17 @@ def imbalance_ratio(spark, sf):
 def missing_after_cleaning(spark, sf):
     ev = view(spark, sf, "events_n")
     return Q.missing_profile(Q.drop_duplicates(ev))
+
+
+@register("missing_after_imputation",
+          " UNION ALL ".join(
+              f"SELECT {i} AS ordinal, '{c}' AS column_name, '{t}' AS dtype, CAST(0 AS BIGINT) AS n_missing, "
+              f"CAST(0 AS DOUBLE) AS pct_missing"
+              for i, (c, t) in enumerate([("event_id", "bigint"), ("user_id", "bigint"), ("event_type", "string"),
+                                          ("value", "double"), ("props", "string"), ("label", "int")])),
+          ["pct_missing"], "DQ8, IM1")
+def missing_after_imputation(spark, sf):
+    ev = view(spark, sf, "events_n")
+    types = dict(ev.dtypes)
+    clean = IM.clean_data(ev, "simple", target=None)
+    return Q.missing_profile(clean.select(*[F.col(c).cast(types[c]).alias(c) for c in ev.columns]))

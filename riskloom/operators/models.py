@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from riskloom import config
 from riskloom.functions.expr import cut
 from riskloom.operators.balance import get_class_weights
+from riskloom.session import written
 
 
 def with_score(df: DataFrame, probability: str = "probability", out: str = "score") -> DataFrame:
@@ -208,24 +209,24 @@ def permutation_importance(model, df: DataFrame, names: Sequence[str], label: st
     a = exact_rank(base, [], [("_h", True), ("_h2", True)], "_ra")
     b = exact_rank(base.select("_arr", "_h", "_h2"), [], [("_h2", True), ("_h", True)], "_rb")
 
-    def recall_of(data):
-        pred = model.transform(data).withColumn("prediction", F.col("prediction").cast("int"))
-        return rates(confusion(pred, label, "prediction")).first()["recall"]
-
-    baseline = recall_of(df)
-    out = []
-    for j, name in enumerate(names):
-        donor = b.select(F.col("_rb").alias("_ra"), F.col("_arr")[j].alias("_dv"))
-        shuffled = a.join(donor, on="_ra").withColumn(
-            features, array_to_vector(F.transform("_arr", lambda x, i: F.when(i == j, F.col("_dv")).otherwise(x))))
-        out.append((name, float(baseline - recall_of(shuffled.drop("_arr", "_h", "_h2", "_ra", "_dv")))))
+    donors = b.select(F.col("_rb").alias("_ra"), F.col("_arr").alias("_donor"))
+    pairs = written(a.join(donors, on="_ra").select(label, "_arr", "_donor"))
+    # every row once per slot, and once as it is (slot -1); all slots are scored and counted in one job
+    slots = pairs.withColumn("_slot", F.explode(F.sequence(F.lit(-1), F.lit(len(names) - 1))))
+    mixed = F.transform("_arr", lambda x, i: F.when(i == F.col("_slot"), F.get("_donor", i)).otherwise(x))
+    pred = model.transform(slots.select(label, "_slot", array_to_vector(mixed).alias(features)))
+    pred = pred.withColumn("prediction", F.col("prediction").cast("int"))
+    recall = {r["_slot"]: r["recall"] for r in rates(confusion(pred, label, "prediction", ["_slot"])).collect()}
+    out = [(name, float(recall[-1] - recall[j])) for j, name in enumerate(names)] if recall else []
     spark = df.sparkSession
     return spark.createDataFrame(out, "feature string, importance double").orderBy(F.desc("importance"))
 
 
 def analyze_tree_paths(rf_model, names: Sequence[str], path: str, top: int = 10) -> DataFrame:
-    """MD9: split count per feature and mean node id (depth proxy) over all trees.
+    """MD9: split count per feature and mean node id (depth proxy) over all trees, in two rankings.
 
+    ``ranking`` is ``split_count`` (most splits first) or ``depth`` (smallest
+    mean node id first, features without a split left out); ``top`` rows each.
     The model is written to ``path`` (a shared folder) and its node table is
     read back with Spark, so the per-node work is a distributed group-by.
     """
@@ -242,7 +243,9 @@ def analyze_tree_paths(rf_model, names: Sequence[str], path: str, top: int = 10)
     full = names_df.join(stats, on="idx", how="left").select(
         "feature", F.coalesce("split_count", F.lit(0)).cast("long").alias("split_count"),
         F.coalesce("mean_node_id", F.lit(0.0)).alias("mean_node_id"))
-    return full.orderBy(F.desc("split_count"), "feature").limit(top)
+    most = full.orderBy(F.desc("split_count"), "feature").limit(top)
+    nearest = full.where("split_count > 0").orderBy("mean_node_id", "feature").limit(top)
+    return most.withColumn("ranking", F.lit("split_count")).unionByName(nearest.withColumn("ranking", F.lit("depth")))
 
 
 # --------------------------------------------------------------------- MD10
