@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from riskloom.llm import mixing, packing, quality_rules, simhash, substring
+from riskloom.llm.common import WORD
 from riskloom.session import ship_package, written
 
 
@@ -49,7 +50,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = (keyed.join(taken.withColumnRenamed("key", "_key"), "_key")
             .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size"))))))
     words = F.least(F.col("_size"), F.col("_taken") - (F.col("_pass") - 1) * F.col("_size"))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(mixing.WORD), F.lit(0)), F.lit(1), words.cast("int")), " ")
+    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), words.cast("int")), " ")
     return _measured(rows.withColumn("text", F.when(words < F.col("_size"), part).otherwise(F.col("text"))), docs.columns)
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from riskloom.session import written
 
-from .common import WORD, record, utf8
+from .common import record, utf8
 
 
 class Flow:

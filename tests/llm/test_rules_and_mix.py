@@ -5,7 +5,6 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from riskloom.llm import classifier, mixing, quality_rules, sharding
 
