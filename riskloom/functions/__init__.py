@@ -6,8 +6,6 @@ from riskloom.functions.expr import (  # noqa: F401
     numeric_columns,
     null_propagating_sum,
     null_skipping_sum,
-    round6,
-    safe_div,
     string_columns,
     value_map,
     yes_no,

@@ -91,13 +91,3 @@ def null_propagating_sum(cols: Iterable[str | Column]) -> Column:
     for c in cols[1:]:
         out = out + c
     return out
-
-
-def safe_div(num: str | Column, den: str | Column, zero: float = 0.0) -> Column:
-    """``num / den`` with ``zero`` when the denominator is 0 or null."""
-    n, d = _c(num), _c(den)
-    return F.when(d.isNotNull() & (d != 0), n.cast("double") / d).otherwise(F.lit(float(zero)))
-
-
-def round6(col: str | Column) -> Column:
-    return F.round(_c(col).cast("double"), 6)

@@ -244,3 +244,14 @@ def test_knn_equals_brute_force(spark, n_cols, levels):
                         found.append((math.sqrt(n_cols / len(shared) * sum(shared)), d[0], d[1 + j]))
                 near = [v for _, _, v in sorted(found)[:3]]
                 assert got[r[0]][1 + j] == pytest.approx(sum(near) / len(near))
+
+
+@pytest.mark.parametrize("kind,n", [("random_forest", 144), ("xgboost", 3888), ("gradient_boosting", 972)])
+def test_draws_do_not_repeat(spark, kind, n):
+    from riskloom.operators import tune as TU
+
+    space, translate = TU.SPACES[kind]
+    est = MD.random_forest_model() if kind == "random_forest" else MD.boosting_model()
+    maps = TU.sampled_maps(est, space, translate, n_iter=20)
+    assert len(maps) == 20 and len({str(sorted((p.name, v) for p, v in m.items())) for m in maps}) == 20
+    assert len(TU.sampled_maps(est, space, translate, n_iter=10**6)) == n
