@@ -132,7 +132,7 @@ def order_key(id_col: str, text_col: str, seed: int = 5) -> Column:
 
 def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: int = 3, seed: int = 5,
         sources_col: str = "source", id_col: str = "doc_id", text_col: str = "text", total: int | None = None,
-        rows_per_bucket: int = 20_000, max_patterns: int = 10_000) -> DataFrame:
+        rows_per_bucket: int = 1_000, max_patterns: int = 10_000) -> DataFrame:
     """(doc_id, key, size, source_size, target, taken) of every document.
 
     ``sources_col`` is a string (one source) or an array of strings (the
