@@ -7,7 +7,7 @@ kept, with what it returned written as Parquet and read again in between.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import mixing, packing, quality_rules, simhash, substring
@@ -21,16 +21,18 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked fingerprints stays, the one of the smallest id.
+    """One row of each group of linked fingerprints stays, one of the smallest id (null after all others).
 
-    Rows of one id are one document (the smallest text of them stays).
+    Rows of one id, or without one, are documents of their own: only linked texts are copies.
     """
     ship_package(spark)
-    groups = simhash.simhash_components(docs)
-    stay = groups.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    first = Window.partitionBy("doc_id").orderBy("text")
-    return kept.withColumn("_n", F.row_number().over(first)).where("_n = 1").select(docs.columns)
+    name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.md5(F.coalesce("text", F.lit(""))),
+                       F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns)).cast("string"))
+    keyed = docs.withColumn("_key", name)
+    groups = simhash.simhash_components(keyed, key_col="_key")
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")).alias("least")
+    stay = groups.groupBy("label").agg(least).select(F.col("least.key").alias("_key"))
+    return keyed.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,11 +51,12 @@ def fingerprint(text: bytes, shingle: int = 3, seed: int = 42) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def _prints(shingle: int, seed: int):
+def _prints(shingle: int, seed: int, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             prints = np.array([fingerprint(raw, shingle, seed) for raw in utf8(batch.column("text"))], dtype="<u8")
-            yield record(PRINTS, doc_id=batch.column("doc_id").to_pylist(), print=prints.view("<i8"))
+            others = {c: batch.column(c).to_pylist() for c in schema.names if c != "print"}
+            yield record(schema, print=prints.view("<i8"), **others)
 
     return run
 
@@ -138,23 +139,27 @@ def simhash_links(prints: DataFrame, radius: int = 3, tile: int = 2048) -> DataF
 
 
 def simhash_components(docs: DataFrame, shingle: int = 3, radius: int = 3, seed: int = 42, tile: int = 2048,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every whole text.
+                       id_col: str = "doc_id", text_col: str = "text", key_col: str | None = None) -> DataFrame:
+    """(doc_id, fingerprint, component_id[, key, label]) of every whole text.
 
     The fingerprint is 16 lowercase hex digits; the component's id is the
     smallest doc_id that links reach.  A null, empty or blank text has
     fingerprint zero and links like any other; a text shorter than a shingle
     is one shingle.  Null ids share their fingerprint's component; repeated
     rows give a row each; an empty table gives no rows; other columns are
-    neither read nor returned.
+    neither read nor returned, but for ``key_col``, a string that names rows.
+    With it ``label`` tells components apart whose ids are all null.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    prints = written(rows.mapInArrow(_prints(shingle, seed), "doc_id long, print long"))
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
+                       *([F.col(key_col).alias("key")] if key_col else []))
+    schema = PRINTS.append(pa.field("key", pa.string())) if key_col else PRINTS
+    prints = written(rows.mapInArrow(_prints(shingle, seed, schema), "doc_id long, print long" + (", key string" if key_col else "")))
     nodes = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
     labels = connected_components(simhash_links(prints, radius, tile))
     labelled = written(nodes.join(labels.withColumnRenamed("node", "print"), "print", "left")
                        .withColumn("label", F.coalesce("label", "print")))
     first = labelled.groupBy("label").agg(F.min("first").alias("component_id"))
-    known = written(labelled.join(first, "label").select("print", "component_id"))
+    known = written(labelled.join(first, "label").select("print", "component_id", "label"))
     return (prints.join(known, "print")
-            .select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id"))
+            .select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id",
+                    *(["key", "label"] if key_col else [])))

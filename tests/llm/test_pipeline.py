@@ -23,6 +23,14 @@ def test_near_duplicates_leave_one_of_each_group(spark, docs):
     assert sorted(r.doc_id for r in kept) == sorted(groups)
 
 
+def test_near_duplicates_keep_unlinked_rows_of_one_id_and_of_none(spark, docs):
+    text = {c: " ".join(f"{c}{i}" for i in range(60)) for c in "abxy"}
+    rows = [(3, text["a"], "s"), (5, text["a"], "s"), (5, text["b"], "s"), (None, text["a"], "s"), (None, text["x"], "s"),
+            (None, text["x"], "s"), (None, text["x"], None), (None, text["y"], "s")]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, source string"), "")
+    assert sorted((r.doc_id or 0, r.text) for r in kept.collect()) == [(0, text["x"]), (0, text["y"]), (3, text["a"]), (5, text["b"])]
+
+
 def test_repeated_passages_leave_other_texts_as_they_are(spark, docs):
     before = {r.doc_id: r.text for r in docs.collect()}
     after = {r.doc_id: r.text for r in corpus_pipeline.repeated_passages(spark, docs, "").collect()}
