@@ -160,11 +160,7 @@ def grid_search_logistic(spark, sf):
 @register("random_search_forest", None, operators="TU4")
 def random_search_forest(spark, sf):
     p, train = _prepared(spark, sf)
-    est = MD.random_forest_model(weight="weight")
-    maps = TU.sampled_maps(est, config.RF_SEARCH_SPACE, TU.rf_space_to_spark, n_iter=3)
-    for m in maps:  # keep the sf0.01 check short; the library search is unchanged
-        m[est.getParam("numTrees")] = min(m[est.getParam("numTrees")], 50)
-    res = TU.search_results(TU.search(est, maps, train))
+    res = TU.search_results(TU.random_search("random_forest", MD.random_forest_model(weight="weight"), train))
     return spark.createDataFrame([(str(s), r) for s, r in res], "setting string, mean_recall double")
 
 
@@ -174,11 +170,7 @@ def random_search_boosting(spark, sf):
 
     p, train = _prepared(spark, sf)
     data = with_scale_pos_weight(p.train, "label", "spw")
-    est = MD.boosting_model(weight="spw")
-    maps = TU.sampled_maps(est, config.XGB_SEARCH_SPACE, TU.boost_space_to_spark, n_iter=2)
-    for m in maps:
-        m[est.getParam("maxIter")] = min(m[est.getParam("maxIter")], 20)
-    res = TU.search_results(TU.search(est, maps, data))
+    res = TU.search_results(TU.random_search("xgboost", MD.boosting_model(weight="spw"), data))
     return spark.createDataFrame([(str(s), r) for s, r in res], "setting string, mean_recall double")
 
 
