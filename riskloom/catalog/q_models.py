@@ -17,11 +17,13 @@ from riskloom.operators import models as MD
 from riskloom.operators import tune as TU
 from riskloom.operators.balance import with_class_weights
 from riskloom.session import ensure_checkpoint_dir
-from riskloom.workflow import prepare, run
+from riskloom.workflow import default_estimators, prepare, run
+
+_SHORT = ["lr", "rf", "xgb"]
 
 
 def _prepared(spark, sf):
-    p = prepare(view(spark, sf, "patients"), polynomial=False)
+    p = prepare(view(spark, sf, "patients"))
     return p, with_class_weights(p.train, "label")
 
 
@@ -92,7 +94,7 @@ def forest_importance(spark, sf):
     from riskloom.operators.eda import top_importance
 
     p, train = _prepared(spark, sf)
-    rf = MD.random_forest_model(weight="weight", n_estimators=100).fit(train)
+    rf = MD.random_forest_model(weight="weight").fit(train)
     return top_importance(MD.feature_importance(rf, p.names).withColumnRenamed("importance", "Importance"))
 
 
@@ -101,7 +103,7 @@ def tree_paths(spark, sf):
     import uuid
 
     p, train = _prepared(spark, sf)
-    rf = MD.random_forest_model(weight="weight", n_estimators=50).fit(train)
+    rf = MD.random_forest_model(weight="weight").fit(train)
     path = f"{ensure_checkpoint_dir(spark)}/tree-paths-{uuid.uuid4().hex}"
     return MD.analyze_tree_paths(rf, p.names, path)
 
@@ -123,11 +125,10 @@ def permutation_importance(spark, sf):
 @register("voting_evaluation", None, operators="MD11, MD13, EV2")
 def voting_evaluation(spark, sf):
     p, train = _prepared(spark, sf)
-    fitted = {"lr": MD.logistic_model().fit(train),
-              "rf": MD.random_forest_model(weight="weight", n_estimators=50).fit(train)}
-    s = MD.score_with(fitted, p.test)
-    soft = MD.voting(s, ["lr", "rf"], [0.2, 0.4]).withColumn("model", F.lit("soft"))
-    hard = MD.voting(s, ["lr", "rf"], [0.2, 0.4], "hard").withColumn("model", F.lit("hard"))
+    members, weights = default_estimators(), list(config.VOTING_WEIGHTS.values())
+    s = MD.score_with({n: members[m].fit(train) for n, m in zip(_SHORT, config.VOTING_WEIGHTS, strict=True)}, p.test)
+    soft = MD.voting(s, _SHORT, weights).withColumn("model", F.lit("soft"))
+    hard = MD.voting(s, _SHORT, weights, "hard").withColumn("model", F.lit("hard"))
     both = soft.unionByName(hard).withColumn("label", F.col("label").cast("int"))
     return M.evaluate(both, by=["model"])
 
@@ -135,8 +136,7 @@ def voting_evaluation(spark, sf):
 @register("stacking_evaluation", None, operators="MD12")
 def stacking_evaluation(spark, sf):
     p, train = _prepared(spark, sf)
-    est = {"lr": MD.logistic_model(), "rf": MD.random_forest_model(weight="weight", n_estimators=20)}
-    members, meta, names = MD.stacking(train, est)
+    members, meta, names = MD.stacking(train, dict(zip(_SHORT, default_estimators().values(), strict=True)))
     scored = MD.stack_score(p.test, members, meta, names).withColumn("label", F.col("label").cast("int"))
     return M.evaluate(scored)
 
@@ -189,14 +189,10 @@ def select_features_rfe(spark, sf):
 
     num = config.NUMERICAL_FEATURES
     data = stratified_folds(pts.na.fill(0.0, num), "label", num + ["gender"], 5)
-    best, _ = EN.select_features_with_rfe(data, "label", num, step=2, min_features_to_select=5)
+    best, _ = EN.select_features_with_rfe(data, "label", num, min_features_to_select=5)
     return spark.createDataFrame([(c,) for c in best], "feature string")
 
 
 @register("workflow_reports", None, operators="main flow")
 def workflow_reports(spark, sf):
-    reps = run(view(spark, sf, "patients"), run_cv=False, polynomial=True,
-               estimators={"Logistic Regression": MD.logistic_model(),
-                           "Random Forest": MD.random_forest_model(weight="weight", n_estimators=100),
-                           "XGBoost": MD.boosting_model(n_estimators=30)})
-    return reps["test_model_comparison_optimized"]
+    return run(view(spark, sf, "patients"))["test_model_comparison_optimized"]

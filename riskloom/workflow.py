@@ -35,7 +35,7 @@ class Prepared:
     preprocess: object
 
 
-def prepare(df: DataFrame, target: str = config.TARGET, method: str = "simple",
+def prepare(df: DataFrame, target: str = config.TARGET, method: str = "advanced",
             polynomial: bool = True, test_size: float = config.TEST_SIZE) -> Prepared:
     """Clean, derive features, split exactly, fit the preprocessing on train only."""
     # the key comes from the rows as they are: once imputed, different rows may be equal
@@ -68,7 +68,7 @@ def default_estimators(weight_col: str = "weight") -> dict:
     }
 
 
-def run(df: DataFrame, target: str = config.TARGET, method: str = "simple", run_cv: bool = True,
+def run(df: DataFrame, target: str = config.TARGET, method: str = "advanced", run_cv: bool = True,
         polynomial: bool = True, estimators: dict | None = None) -> dict[str, DataFrame]:
     """Run the main flow; returns the report tables by name."""
     from riskloom.operators.balance import with_class_weights

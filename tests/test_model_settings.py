@@ -27,3 +27,49 @@ def searched(spark, monkeypatch):
 def test_random_searches_draw_all_settings(spark, searched, query, rounds):
     assert getattr(Q, query)(spark, "").count() == config.RANDOM_SEARCH_DRAWS == len(searched)
     assert {s[rounds] for s in searched} == {100, 200, 300}
+
+
+class Stop(Exception):
+    pass
+
+
+def test_members_are_the_reference_s(spark, monkeypatch):
+    data, fits = spark.createDataFrame([(0.0, 0), (1.0, 0)], "label double, fold int"), []
+
+    def stop(*args, **options):
+        fits.append((args, options))
+        raise Stop
+
+    monkeypatch.setattr(Q, "_prepared", lambda *_: (SimpleNamespace(train=data, test=data, names=[]), data))
+    monkeypatch.setattr(Q.MD.RandomForestClassifier, "fit", lambda self, *_: stop(self))
+    for query in (Q.forest_importance, Q.tree_paths):
+        with pytest.raises(Stop):
+            query(spark, "")
+    assert [a[0].getNumTrees() for a, _ in fits] == [300, 300]
+    monkeypatch.setattr(Q.MD, "stacking", stop)
+    with pytest.raises(Stop):
+        Q.stacking_evaluation(spark, "")
+    members = fits[-1][0][1]
+    assert list(members) == ["lr", "rf", "xgb"] and members["rf"].getNumTrees() == 300 and members["xgb"].getMaxIter() == 100
+    fitted = {n: SimpleNamespace(fit=lambda *_, n=n: n) for n in config.VOTING_WEIGHTS}
+    monkeypatch.setattr(Q, "default_estimators", lambda: fitted)
+    monkeypatch.setattr(Q.MD, "score_with", stop)
+    with pytest.raises(Stop):
+        Q.voting_evaluation(spark, "")
+    assert fits[-1][0][0] == dict(zip(["lr", "rf", "xgb"], config.VOTING_WEIGHTS, strict=True))
+
+
+def test_selection_and_main_flow_use_the_reference_s_settings(monkeypatch):
+    import inspect
+
+    from riskloom import workflow
+    from riskloom.operators import encode
+
+    default = lambda f, name: inspect.signature(f).parameters[name].default
+    assert default(encode.select_features_with_rfe, "num_trees") == 100 and default(encode.select_features_with_rfe, "step") == 1
+    assert default(workflow.prepare, "method") == default(workflow.run, "method") == "advanced"
+    given = []
+    monkeypatch.setattr(Q, "view", lambda *_: None)
+    monkeypatch.setattr(Q, "run", lambda *a, **o: given.append(o) or {"test_model_comparison_optimized": None})
+    Q.workflow_reports(None, "")
+    assert given == [{}]
