@@ -148,7 +148,7 @@ def cv_summary(spark, sf):
     return M.compare_cv(cv)
 
 
-@register("grid_search_logistic", None, operators="TU1, TU3")
+@register("grid_search_logistic", None, operators="TU3")
 def grid_search_logistic(spark, sf):
     p, train = _prepared(spark, sf)
     est = MD.logistic_model()
@@ -164,7 +164,7 @@ def random_search_forest(spark, sf):
     return spark.createDataFrame([(str(s), r) for s, r in res], "setting string, mean_recall double")
 
 
-@register("random_search_boosting", None, operators="TU5, TU6, BA5")
+@register("random_search_boosting", None, operators="TU5, BA5")
 def random_search_boosting(spark, sf):
     from riskloom.operators.balance import with_scale_pos_weight
 
@@ -174,6 +174,38 @@ def random_search_boosting(spark, sf):
     return spark.createDataFrame([(str(s), r) for s, r in res], "setting string, mean_recall double")
 
 
+def _settings(spark, cv_model):
+    return spark.createDataFrame([(str(s), r) for s, r in TU.search_results(cv_model)], "setting string, mean_recall double")
+
+
+@register("random_search_gradient_boosting", None, operators="TU6")
+def random_search_gradient_boosting(spark, sf):
+    p, train = _prepared(spark, sf)
+    return _settings(spark, TU.random_search("gradient_boosting", MD.boosting_model(), train))
+
+
+@register("grid_search_logistic_full", None, operators="TU1")
+def grid_search_logistic_full(spark, sf):
+    p, train = _prepared(spark, sf)
+    est = MD.logistic_model()
+    return _settings(spark, TU.search(est, TU.logistic_grid(est), train))
+
+
+@register("grid_search_forest", None, operators="TU1")
+def grid_search_forest(spark, sf):
+    p, train = _prepared(spark, sf)
+    est = MD.random_forest_model(weight="weight")
+    return _settings(spark, TU.search(est, TU.forest_grid(est), train))
+
+
+@register("grid_search_boosting", None, operators="TU1")
+def grid_search_boosting(spark, sf):
+    p, train = _prepared(spark, sf)
+    est = MD.boosting_model()
+    maps, data = TU.boosting_grid(est, train)
+    return _settings(spark, TU.search(est, maps, data))
+
+
 @register("select_features_model", None, operators="EN6")
 def select_features_model(spark, sf):
     p, train = _prepared(spark, sf)

@@ -29,6 +29,12 @@ def test_random_searches_draw_all_settings(spark, searched, query, rounds):
     assert {s[rounds] for s in searched} == {100, 200, 300}
 
 
+@pytest.mark.parametrize("query,n", [("random_search_gradient_boosting", 20), ("grid_search_logistic_full", 30),
+                                     ("grid_search_forest", 6), ("grid_search_boosting", 144)])
+def test_claimed_searches_try_their_settings(spark, searched, query, n):
+    assert getattr(Q, query)(spark, "").count() == len(searched) == len({str(sorted(s.items())) for s in searched}) == n
+
+
 class Stop(Exception):
     pass
 
