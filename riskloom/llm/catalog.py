@@ -44,7 +44,11 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sharding.assign_shards(table(spark, sf_dir, "documents").select("doc_id"), SHARDS)
+    path = store_path(spark, f"shards-{uuid.uuid4().hex}")
+    docs = table(spark, sf_dir, "documents")
+    sharding.write_shards(docs, path, SHARDS)
+    schema = sharding.assign_shards(docs, SHARDS).schema  # else an empty table couldn't be read back
+    return spark.read.schema(schema).parquet(path).select("doc_id", "slot", "shard")
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -140,6 +140,20 @@ def test_shards_are_written_apart(spark, odd_docs, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/s").count() == odd_docs.count()
 
 
+def test_the_query_writes_whole_documents_and_reads_their_places(spark, docs, monkeypatch, tmp_path):
+    from riskloom.llm import catalog
+
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(catalog, "store_path", lambda _, name: f"{tmp_path}/out")
+    got = catalog.op5_sharding(spark, str(tmp_path)).collect()
+    names = catalog.SHARDS
+    table = sharding.lookup_table(names, 65_537)
+    assert len(got) == docs.count() and all(r.shard == names[table[r.slot]] for r in got)
+    stored = spark.read.parquet(f"{tmp_path}/out")
+    assert set(stored.columns) == {*docs.columns, "slot", "shard"}
+    assert sorted(map(str, stored.select("doc_id", "text").collect())) == sorted(map(str, docs.select("doc_id", "text").collect()))
+
+
 # --- mixing --------------------------------------------------------------------------------
 
 
