@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskloom.session import ship_package
 
-from . import classifier, embeddings, mixing, quality_rules, sharding, simhash, substring
+from . import bestfit, classifier, collocations, embeddings, mixing, quality_rules, repair, sharding, simhash, substring
 from .common import table
 from .packing import pack_documents
 from .token_counts import token_counts
@@ -73,6 +73,27 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, path)
 
 
+def op11_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = bestfit.cut_pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    digests = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return bestfit.place_pieces(digests).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found = repair.repair(repair.damage(rows)).withColumnRenamed("conv_id", "found_id")
+    every = rows.select("conv_id").distinct()
+    zero = {c: F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")}
+    return every.join(found, F.col("conv_id").eqNullSafe(F.col("found_id")), "left").select(
+        "conv_id", *zero.values(), F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -88,7 +109,7 @@ def _query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSess
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _query(f) for f in (
     op1_token_counts, op2_embedding_dedup, op3_quality_rules, op4_quality_classifier, op5_sharding, op6_substring_dedup,
-    op7_packing, op8_mixing, op9_simhash, op10_token_store, pipeline)}
+    op7_packing, op8_mixing, op9_simhash, op10_token_store, op11_best_fit_packing, op12_collocations, op13_conversation_repair, pipeline)}
 
 #: DuckDB SQL of the queries that SQL can express; the others are tested against brute force.
 ORACLES: dict[str, str] = {
@@ -96,6 +117,7 @@ ORACLES: dict[str, str] = {
     "op3_quality_rules": quality_rules.judge_sql(),
     "op6_substring_dedup": substring.remove_repeats_sql(),
     "op8_mixing": mixing.mix_sql(),
+    "op12_collocations": collocations.collocations_sql(),
 }
 if corpus_pipeline.ORACLE_SQL is not None:
     ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
