@@ -7,6 +7,7 @@ Model fits have no SQL twin, so most entries are rows-only; the encoders
 from __future__ import annotations
 
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from riskloom import config
@@ -16,6 +17,7 @@ from riskloom.operators import metrics as M
 from riskloom.operators import models as MD
 from riskloom.operators import tune as TU
 from riskloom.operators.balance import with_class_weights
+from riskloom.operators.boost import SecondOrderBoosting
 from riskloom.session import ensure_checkpoint_dir
 from riskloom.workflow import default_estimators, prepare, run
 
@@ -115,6 +117,72 @@ def boosting_importance(spark, sf):
     return MD.feature_importance(gbt, p.names)
 
 
+_TREE_COLUMNS = ["age", "triglyceride_level", "fasting_blood_sugar", "crp_level", "homocysteine_level"]
+_TREE_CUTS = {"age": range(25, 70, 5), "triglyceride_level": range(120, 300, 20), "fasting_blood_sugar": range(80, 160, 10),
+              "crp_level": range(1, 10), "homocysteine_level": range(7, 19, 2)}
+_TREE_LABEL = "CAST(heart_disease_status = 'Yes' AS INTEGER)"
+
+
+def _tree_sql(depth=2):
+    """One tree over fixed cut points: for every open node the sums by (feature, cut), the best split, the next level."""
+    rows = (f"SELECT row_number() OVER () AS id, {_TREE_LABEL} AS label, " + ", ".join(_TREE_COLUMNS)
+            + f" FROM {view_sql('patients')} AS v")
+    cells = " UNION ALL ".join(f"SELECT {i} AS f, CAST(c AS DOUBLE) AS cut FROM (SELECT unnest({list(cuts)}) AS c) AS u"
+                               for i, cuts in enumerate(_TREE_CUTS[c] for c in _TREE_COLUMNS))
+    pick = "CASE s.f " + " ".join(f"WHEN {i} THEN r.{c}" for i, c in enumerate(_TREE_COLUMNS)) + " END"
+    score = lambda g, h: f"power({g}, 2) / ({h} + 1)"
+    parts = [f"r0 AS MATERIALIZED ({rows})", f"cells AS ({cells})",
+             "n0 AS (SELECT *, 0 AS node, 0.5 - label AS g, CAST(0.25 AS DOUBLE) AS h FROM r0)"]
+    for d in range(depth):
+        pick_c = pick.replace("s.f", "c.f")
+        parts += [
+            f"t{d} AS (SELECT node, CAST(sum(g) AS DOUBLE) AS g, sum(h) AS h FROM n{d} GROUP BY node)",
+            f"l{d} AS (SELECT r.node, c.f, c.cut, CAST(sum(r.g) AS DOUBLE) AS gl, sum(r.h) AS hl FROM n{d} AS r JOIN cells AS c ON {pick_c} <= c.cut "
+            "GROUP BY r.node, c.f, c.cut)",
+            f"w{d} AS (SELECT l.*, {score('gl', 'hl')} + {score('(t.g - gl)', '(t.h - hl)')} - {score('t.g', 't.h')} AS gain "
+            f"FROM l{d} AS l JOIN t{d} AS t ON t.node = l.node WHERE hl >= 1 AND t.h - hl >= 1)",
+            f"s{d} AS (SELECT * FROM w{d} WHERE gain > 1e-6 QUALIFY row_number() OVER (PARTITION BY node ORDER BY gain DESC, f, cut) = 1)",
+            f"n{d + 1} AS (SELECT r.* REPLACE (2 * r.node + CASE WHEN {pick} <= s.cut THEN 1 ELSE 2 END AS node) FROM n{d} AS r "
+            f"JOIN s{d} AS s ON s.node = r.node)"]
+    names = "CASE f " + " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(_TREE_COLUMNS)) + " END"
+    none = "CAST(NULL AS VARCHAR), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)"
+    out = [f"SELECT node, {names} AS feature, cut AS threshold, gain, CAST(NULL AS DOUBLE) AS weight FROM s{d}" for d in range(depth)]
+    out += [f"SELECT node, {none}, -0.1 * g / (h + 1) FROM t{d} WHERE node NOT IN (SELECT node FROM s{d})" for d in range(depth)]
+    out.append(f"SELECT node, {none}, -0.1 * sum(g) / (sum(h) + 1) FROM n{depth} GROUP BY node")
+    return "WITH " + ", ".join(parts) + " " + " UNION ALL ".join(out)
+
+
+@register("boosted_tree", _tree_sql(), ["threshold", "gain", "weight"], operators="MD4")
+def boosted_tree(spark, sf):
+    """The first tree of a fit over fixed cut points, all rows and columns: its nodes, gains and leaf weights."""
+    from riskloom.operators.boost import SecondOrderModel
+    from riskloom.plans import boosting as B
+
+    rows = view(spark, sf, "patients").selectExpr(f"array({', '.join(_TREE_COLUMNS)}) AS features", f"{_TREE_LABEL} AS label")
+    cuts = [np.array(_TREE_CUTS[c], dtype=float) for c in _TREE_COLUMNS]
+    binned = B.bin_rows(rows, "features", "label", cuts)
+    job = B.fit(binned, [B.Job(B.Setting(rounds=1, depth=2))])[0]
+    nodes = SecondOrderModel(job, cuts).nodes(0)
+    return spark.createDataFrame([(n, None if f is None else _TREE_COLUMNS[f], *rest) for n, f, *rest in nodes],
+                                 "node int, feature string, threshold double, gain double, weight double")
+
+
+@register("second_order_importance", None, operators="MD4, MD8")
+def second_order_importance(spark, sf):
+    p, train = _prepared(spark, sf)
+    return MD.feature_importance(SecondOrderBoosting().fit(train), p.names)
+
+
+@register("early_stopping", None, operators="MD4")
+def early_stopping(spark, sf):
+    """Rows of fold 0 stop the fit: the loss on them after each round, and whether the model keeps the round."""
+    p, train = _prepared(spark, sf)
+    est = SecondOrderBoosting(validationCol="held", patience=10, stepSize=0.3)
+    model = est.fit(train.withColumn("held", F.col("fold") == 0))
+    return spark.createDataFrame([(i, float(x), i <= model.rounds) for i, x in enumerate(model.losses)],
+                                 "round int, validation_loss double, used boolean")
+
+
 @register("permutation_importance", None, operators="MD7")
 def permutation_importance(spark, sf):
     p, train = _prepared(spark, sf)
@@ -166,11 +234,11 @@ def random_search_forest(spark, sf):
 
 @register("random_search_boosting", None, operators="TU5, BA5")
 def random_search_boosting(spark, sf):
-    from riskloom.operators.balance import with_scale_pos_weight
+    from riskloom.operators.balance import scale_pos_weight
 
     p, train = _prepared(spark, sf)
-    data = with_scale_pos_weight(p.train, "label", "spw")
-    res = TU.search_results(TU.random_search("xgboost", MD.boosting_model(weight="spw"), data))
+    est = SecondOrderBoosting(scalePosWeight=scale_pos_weight(train, "label"))
+    res = TU.search_results(TU.random_search("xgboost", est, train))
     return spark.createDataFrame([(str(s), r) for s, r in res], "setting string, mean_recall double")
 
 
@@ -201,7 +269,7 @@ def grid_search_forest(spark, sf):
 @register("grid_search_boosting", None, operators="TU1")
 def grid_search_boosting(spark, sf):
     p, train = _prepared(spark, sf)
-    est = MD.boosting_model()
+    est = SecondOrderBoosting()
     maps, data = TU.boosting_grid(est, train)
     return _settings(spark, TU.search(est, maps, data))
 

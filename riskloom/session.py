@@ -81,7 +81,16 @@ def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
         atexit.register(_remove)
     _WRITTEN.append((spark, path))
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_path = path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a `written` table whose last reader has ended."""
+    spark, path = df.sparkSession, df.written_path
+    _delete(spark, path)
+    _WRITTEN.remove((spark, path))
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -102,11 +111,15 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(sc.applicationId)
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(hadoop).delete(at, True)
+
+
 def _remove() -> None:
     for spark, path in _WRITTEN:
         try:
-            jvm, hadoop = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(hadoop).delete(at, True)
-        except Exception:  # noqa: BLE001 - the session has already gone; nothing is left to clean with
-            return
+            _delete(spark, path)
+        except Exception:  # noqa: BLE001, S112 - a session that has gone can't clean; others still can
+            continue
