@@ -6,13 +6,13 @@ normalised lines are hashed, the distinct documents that hold a line are
 counted per host, lines above the limits are removed, and documents that lose
 too much are rejected.
 
-"Distinct documents" are distinct main lines (the longest line of a text):
-copies and near copies of one page count once, so that only lines shared by
-different pages are boilerplate.
+Documents of one normalised text are one document: exact copies of a page
+don't make its lines common.
 
-Words and repeats are counted in arrays of one document, without a shuffle;
-lines are shuffled as (host, hash) with partial aggregation, and the join back
-reads a written table of the few lines above the limits.
+Words and repeats are counted in arrays of one document, without a shuffle.
+Lines are a row each from the start: (host, line, document) is aggregated in
+the tasks before it is shuffled, and no table of all lines is written.  Only
+lines above the limits are kept, and the texts are read once more to find them.
 """
 
 from __future__ import annotations
@@ -66,32 +66,34 @@ def normal(line: Column) -> Column:
 
 
 def line_hash(line: Column) -> Column:
-    """64 bits of a normalised line's digest, as text."""
-    return F.substring(F.md5(normal(line)), 1, 16)
+    """128 bits of a normalised line."""
+    return F.md5(normal(line))
 
 
 def document_lines(rows: DataFrame) -> DataFrame:
-    """A row per document with ``main`` (hash of its longest line) and its non-blank lines (hash, words)."""
-    lines = rows.select("doc_id", "tk", "host", F.filter(F.split("text", "\n", -1), lambda x: x.rlike(WORD)).alias("raw"))
-    hashed = lines.select("doc_id", "tk", "host", F.transform("raw", lambda x: F.struct(
-        F.length(x).alias("size"), line_hash(x).alias("line"),
-        F.size(F.split(F.trim(F.regexp_replace(x, BLANKS, " ")), " ")).alias("words"))).alias("lines"))
-    return hashed.withColumn("main", F.coalesce(F.array_max("lines")["line"], F.lit("")))
+    """(tk, host, document, at, line, words): a row for each non-blank line; ``document`` tells normalised texts apart."""
+    split = rows.select("tk", "host", F.md5(normal(F.col("text"))).alias("document"), F.posexplode(F.split("text", "\n", -1)).alias("at", "raw"))
+    words = F.size(F.split(F.trim(F.regexp_replace("raw", BLANKS, " ")), " "))
+    return split.where(F.col("raw").rlike(WORD)).select("tk", "host", "document", "at", line_hash(F.col("raw")).alias("line"), words.alias("words"))
 
 
-def common_lines(lines: DataFrame, min_docs: int, host_share: float) -> DataFrame:
+def distinct_documents(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The number of distinct documents of each group; a hot group is spread over its documents first."""
+    return rows.groupBy(*by, "document").agg(F.lit(1).alias("one")).groupBy(*by).agg(F.count("*").alias("n"))
+
+
+def common_lines(rows: DataFrame, min_docs: int, host_share: float) -> DataFrame:
     """(host, line) of the lines above the limits: in at least ``min_docs`` distinct documents of the host, and in
     at least ``host_share`` of them."""
-    of_host = lines.groupBy("host", "main").agg(F.lit(1).alias("one")).groupBy("host").agg(F.count("*").alias("docs"))
-    held = lines.select("host", "main", F.explode(F.array_distinct(F.col("lines.line"))).alias("line"))
-    counts = (held.groupBy("host", "line", "main").agg(F.lit(1).alias("one"))
-              .groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs))
-    return counts.join(of_host, "host").where(F.col("n") >= host_share * F.col("docs")).select("host", "line")
+    of_host = distinct_documents(rows.select("host", F.md5(normal(F.col("text"))).alias("document")), ["host"])
+    counts = distinct_documents(document_lines(rows), ["host", "line"]).where(F.col("n") >= min_docs)
+    return counts.join(of_host.withColumnRenamed("n", "docs"), "host").where(F.col("n") >= host_share * F.col("docs")).select("host", "line")
 
 
 def row_key(id_col: str, text_col: str, host_col: str) -> Column:
-    """Tells rows of one id and different texts or hosts apart."""
-    return F.xxhash64(F.col(id_col).cast("long"), host(host_col), F.coalesce(F.col(text_col), F.lit("")))
+    """Tells rows of one id and different texts or hosts apart (128 bits)."""
+    known = F.coalesce(F.col(id_col).cast("string"), F.lit("-"))
+    return F.md5(F.concat_ws("\u0000", known, host(host_col), F.coalesce(F.col(text_col), F.lit(""))))
 
 
 def host(host_col: str) -> Column:
@@ -116,15 +118,12 @@ def judge(docs: DataFrame, min_docs: int = 20, host_share: float = 0.05, max_rem
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col, host_col).alias("tk"),
                        host(host_col).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    lines = written(document_lines(rows))
-    common = written(common_lines(lines, min_docs, host_share))
-    held = lines.select("tk", "host", F.explode("lines").alias("l")).select("tk", "host", "l.line", "l.words")
-    removed = written(held.join(common, ["host", "line"]).groupBy("tk").agg(
-        F.sum("words").cast("long").alias("words"), F.collect_set("line").alias("common")))
-    copies = lines.groupBy("tk").agg(F.count("*").alias("copies"))
-    removed = removed.join(copies, "tk").select("tk", (F.col("words") / F.col("copies")).cast("long").alias("n_common_words"), "common")
+    common = written(common_lines(rows, min_docs, host_share), "snappy")
+    held = document_lines(rows).join(common, ["host", "line"]).groupBy("tk", "at").agg(  # repeated rows have one key
+        F.first("words").alias("words"), F.first("line").alias("line"))
+    removed = written(held.groupBy("tk").agg(F.sum("words").cast("long").alias("n_common_words"), F.collect_set("line").alias("common")), "snappy")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    counts = written(base_counts(rows))  # else a filter on the verdict would be pushed into the arrays' expressions
+    counts = written(base_counts(rows), "snappy")  # else a filter on the verdict would be pushed into the arrays' expressions
     return (counts.join(removed if with_common else removed.drop("common"), "tk", "left")
             .withColumn("n_common_words", F.coalesce("n_common_words", F.lit(0).cast("long")))
             .withColumn("base_failed", failed)
@@ -134,11 +133,13 @@ def judge(docs: DataFrame, min_docs: int = 20, host_share: float = 0.05, max_rem
 def clean(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", **options) -> DataFrame:
     """The kept rows of ``docs``, all columns, their texts without the lines above the limits (see `judge`)."""
     verdict = judge(docs, id_col=id_col, text_col=text_col, host_col=host_col, with_common=True, **options)
-    kept = verdict.where("kept").select(F.col("tk").alias("_tk"), F.col("common").alias("_common")).dropDuplicates(["_tk"])
-    left = F.filter(F.split(text_col, "\n", -1), lambda x: ~F.array_contains("_common", line_hash(x)))
-    text = F.when(F.col("_common").isNull(), F.col(text_col)).otherwise(F.array_join(left, "\n"))
-    return (docs.withColumn("_tk", row_key(id_col, text_col, host_col)).join(kept, "_tk")
-            .withColumn(text_col, text).select(docs.columns))
+    kept = verdict.where("kept").select("tk", "common").dropDuplicates(["tk"])
+    # the input row is one struct, so that no column of it can bear a name used here
+    row = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(f"`{text_col}`").alias("text"),
+                      row_key(id_col, text_col, host_col).alias("tk")).join(kept, "tk")
+    left = F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains("common", line_hash(x)))
+    text = F.when(F.col("common").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
+    return row.select(*((text if c == text_col else F.col(f"row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def judge_sql(documents: str = "documents", min_docs: int = 20, host_share: float = 0.05, max_removed: float = 0.7,
@@ -153,15 +154,15 @@ def judge_sql(documents: str = "documents", min_docs: int = 20, host_share: floa
     covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM twice WHERE n > 1)
                 GROUP BY doc_id),
     raw AS (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS l FROM d),
-    lines AS (SELECT doc_id, host, l, length(l) AS size,
-                     substr(md5(regexp_replace(lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))), '[0-9]', '0', 'g')), 1, 16) AS line,
+    lines AS (SELECT doc_id, host, l,
+                     md5(regexp_replace(lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))), '[0-9]', '0', 'g')) AS line,
                      len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS words
               FROM raw WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
     doubled AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY doc_id),
-    mains AS (SELECT d.doc_id, d.host, coalesce(max({{'size': l.size, 'line': l.line}}).line, '') AS main
-              FROM d LEFT JOIN lines l ON l.doc_id = d.doc_id GROUP BY d.doc_id, d.host),
-    hosts AS (SELECT host, count(DISTINCT main) AS docs FROM mains GROUP BY host),
-    counts AS (SELECT l.host, l.line, count(DISTINCT m.main) AS n FROM lines l JOIN mains m ON l.doc_id = m.doc_id GROUP BY ALL),
+    texts AS (SELECT doc_id, host, md5(regexp_replace(lower(trim(regexp_replace(text, '[\x20\x09-\x0D]+', ' ', 'g'))), '[0-9]', '0', 'g')) AS document
+              FROM d),
+    hosts AS (SELECT host, count(DISTINCT document) AS docs FROM texts GROUP BY host),
+    counts AS (SELECT l.host, l.line, count(DISTINCT t.document) AS n FROM lines l JOIN texts t ON l.doc_id = t.doc_id GROUP BY ALL),
     common AS (SELECT c.host, c.line FROM counts c JOIN hosts h ON c.host = h.host
                WHERE c.n >= {min_docs} AND c.n >= {host_share} * h.docs),
     removed AS (SELECT l.doc_id, sum(l.words) AS n FROM lines l JOIN common c ON l.host = c.host AND l.line = c.line GROUP BY l.doc_id),

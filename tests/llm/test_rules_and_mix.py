@@ -33,15 +33,20 @@ def test_rules_of_nothing(no_docs):
     assert quality_rules.judge(no_docs).collect() == [] and quality_rules.clean(no_docs).collect() == []
 
 
+LEGAL = "All rights reserved " + "and so on for a very long legal note " * 9
+
+
 @pytest.fixture(scope="module")
 def hosted(spark, docs):
-    """One host whose 40 pages share a footer, one page that is footers, and 30 copies of one page."""
+    """One host whose 40 pages share a footer, one page that is footers, 30 copies of one page, and 40 pages whose
+    longest line is one legal note."""
     rng = np.random.default_rng(0)
     line = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 10**6, n))
     footer, page = "Imprint  and 2024 TERMS of use", "\n".join(line(12) for _ in range(8))
     rows = [(i, "\n".join([line(30), line(40), footer.replace("2024", str(2000 + i))]), "h") for i in range(40)]
     rows.append((100, "\n".join([footer] * 20 + [line(13)]), "h"))
-    rows += [(200 + i, page + "\n" + line(3), "h") for i in range(30)]
+    rows += [(200 + i, page, "h") for i in range(30)]
+    rows += [(400 + i, line(40) + "\n" + line(41) + "\n" + LEGAL, "h") for i in range(40)]
     rows += [(300 + i, line(60) + "\n" + footer, "other") for i in range(5)]
     return spark.createDataFrame(rows, "doc_id long, text string, source string")
 
@@ -51,6 +56,7 @@ def test_common_lines_go_and_copies_stay(hosted):
     assert all(got[i].n_common_words == 6 and got[i].kept for i in range(40))
     assert not got[100].kept and got[100].n_common_words == 120
     assert all(got[i].n_common_words == 0 and got[i].kept for i in [*range(200, 230), *range(300, 305)])
+    assert all(got[i].n_common_words == len(LEGAL.split()) and got[i].kept for i in range(400, 440))
     texts = {r.doc_id: r.text for r in quality_rules.clean(hosted).collect()}
     assert set(texts) == set(got) - {100} and not any("Imprint" in texts[i] for i in range(40))
     assert all("Imprint" in texts[i] for i in range(300, 305))
