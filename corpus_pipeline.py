@@ -7,7 +7,7 @@ kept, with what it returned written as Parquet and read again in between.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskloom.llm import mixing, packing, quality_rules, simhash, substring
@@ -16,23 +16,27 @@ from riskloom.session import ship_package, written
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the others lose the lines above the limits."""
+    """Rejected documents go; the others lose the lines above the limits.
+
+    A null or empty text is rejected; a null source is a source of its own; repeated rows are judged alike.
+    """
     return _measured(quality_rules.clean(docs), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of linked fingerprints stays, one of the smallest id (null after all others).
 
-    Rows of one id, or without one, are documents of their own: only linked texts are copies.
+    Rows of one id, or without one, are documents of their own: only linked texts are copies.  Null and empty texts
+    are linked with each other.
     """
     ship_package(spark)
     name = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.md5(F.coalesce("text", F.lit(""))),
                        F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns)).cast("string"))
-    keyed = docs.withColumn("_key", name)
-    groups = simhash.simhash_components(keyed, key_col="_key")
+    rows = docs.select(_row(docs), "doc_id", "text", name.alias("key"))
+    groups = simhash.simhash_components(rows, key_col="key")
     least = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "key")).alias("least")
-    stay = groups.groupBy("label").agg(least).select(F.col("least.key").alias("_key"))
-    return keyed.join(stay, "_key", "left_semi").dropDuplicates(["_key"]).select(docs.columns)
+    stay = groups.groupBy("label").agg(least).select(F.col("least.key").alias("key"))
+    return rows.join(stay, "key", "left_semi").dropDuplicates(["key"]).select("row.*")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,23 +49,33 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """A row for each time that the mix takes a document; the last one may be its first words only."""
+    """A row for each time that the mix takes a document; the last one may be its first words only.
+
+    Texts without words are not taken.  Rows of one id and text are taken as one, in the order of their other columns.
+    """
     ship_package(spark)
-    taken = mixing.mix(docs).where("taken > 0").groupBy("key").agg(F.sum("taken").alias("_taken"), F.min("size").alias("_size"))
-    keyed = docs.withColumn("_key", mixing.order_key("doc_id", "text")).dropDuplicates(["_key"])
-    rows = (keyed.join(taken.withColumnRenamed("key", "_key"), "_key")
-            .withColumn("_pass", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size"))))))
-    words = F.least(F.col("_size"), F.col("_taken") - (F.col("_pass") - 1) * F.col("_size"))
-    part = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), words.cast("int")), " ")
-    return _measured(rows.withColumn("text", F.when(words < F.col("_size"), part).otherwise(F.col("text"))), docs.columns)
+    taken = mixing.mix(docs).where("taken > 0").groupBy("key").agg(F.sum("taken").alias("taken"), F.min("size").alias("size"))
+    other = F.xxhash64(*docs.columns, *(F.col(c).isNull() for c in docs.columns))
+    rows = (docs.select(_row(docs), mixing.order_key("doc_id", "text").alias("key"), other.alias("other"))
+            .groupBy("key").agg(F.min_by("row", "other").alias("row")).join(taken, "key")
+            .withColumn("pass", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size"))))))
+    words = F.least(F.col("size"), F.col("taken") - (F.col("pass") - 1) * F.col("size"))
+    part = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(WORD), F.lit(0)), F.lit(1), words.cast("int")), " ")
+    text = F.when(words < F.col("size"), part).otherwise(F.col("row.text"))
+    return _measured(rows.select(*((text if c == "text" else F.col(f"row.`{c}`")).alias(c) for c in docs.columns)), docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents in sequences."""
+    """Pieces of all documents in sequences; a null or empty text is its end id alone."""
     ship_package(spark)
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def _row(docs: DataFrame) -> Column:
+    """An input row as one value, so that no column of it can bear a name used here."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
 def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
     """``n_chars``, where there is one, follows the text."""
     if "n_chars" in columns:
