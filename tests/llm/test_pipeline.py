@@ -45,3 +45,26 @@ def test_mixture_repeats_rows_as_taken(spark, docs):
     for r in corpus_pipeline.mixture(spark, docs, "").collect():
         got[r.doc_id] = got.get(r.doc_id, 0) + len((r.text or "").encode().split())
     assert got == {k: v for k, v in taken.items() if v}
+
+
+NAMES = ["_shard", "_slot", "_key", "_tk", "_common", "_taken", "_size", "_pass", "row", "taken", "size", "pass", "other", "common", "host"]
+
+
+def test_stages_keep_columns_of_any_name(spark, docs):
+    """Columns that bear names used inside come back with their own values."""
+    import pyspark.sql.functions as F
+
+    named = docs.select("doc_id", "text", "source", *(F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in NAMES))
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, named, "")
+        assert out.columns == named.columns
+        rows = out.collect()
+        assert rows and all(r[c] == f"{c}{r.doc_id}" for r in rows for c in NAMES)
+
+
+def test_mixture_takes_the_same_one_of_equal_rows(spark, docs):
+    import pyspark.sql.functions as F
+
+    twice = docs.unionByName(docs.withColumn("key", F.lit("z")))
+    runs = [sorted(map(str, corpus_pipeline.mixture(spark, twice.repartition(n), "").collect())) for n in (1, 6)]
+    assert runs[0] == runs[1]
