@@ -7,21 +7,21 @@ projection of ``coalesce`` expressions:
 * mode: value counts per column (a partial-aggregated group-by) reduced by
   ``min_by(value, (-count, value))``: most frequent, smallest on ties;
 * KNN: the banded exact join in ``plans.knn``;
-* MICE: chained ridge regressions solved from one aggregation of the normal
-  equations per column per round, with a reliable checkpoint per round.
+* MICE: chained Bayesian ridge regressions from one aggregation of moments by
+  pattern of nulls (``plans.chained``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.functions.expr import numeric_columns, string_columns
 from riskloom.operators.features import encode_target
 from riskloom.operators.quality import drop_duplicates
+from riskloom.plans.chained import chained_ridge, pattern_moments, regression
 from riskloom.plans.knn import knn_impute
 from riskloom.plans.quantiles import exact_median
 from riskloom.session import cut_lineage, written
@@ -109,23 +109,14 @@ def knn_imputation(df: DataFrame, n_neighbors: int = 5, key: str | None = None,
     return res.drop(k) if added else res
 
 
-def _ridge(xtx: np.ndarray, xty: np.ndarray, lam: float) -> np.ndarray:
-    reg = lam * np.eye(xtx.shape[0])
-    reg[0, 0] = 0.0  # no penalty on the intercept
-    return np.linalg.solve(xtx + reg, xty)
-
-
-def mice_imputation(df: DataFrame, max_iter: int = 10, tol: float = 1e-3, lam: float = 1e-6,
-                    exclude: Sequence[str] = ()) -> DataFrame:
+def mice_imputation(df: DataFrame, max_iter: int = 10, tol: float = 1e-3, exclude: Sequence[str] = (),
+                    max_patterns: int = 4096) -> DataFrame:
     """IM3: chained equations for the numeric columns, strings -> mode.
 
-    Start from column means; in each round, for every column with nulls
-    (fewest nulls first) fit a ridge regression on the other columns over the
-    rows where it was observed and overwrite only its originally-null cells.
-    The regression is one aggregation of ``X'X`` and ``X'y`` (``(p+1)^2``
-    sums), solved on the driver.  Stops when the largest change is below
-    ``tol`` times the largest observed magnitude.  Each round ends with a
-    reliable checkpoint so the lineage does not grow.
+    Bayesian ridge regressions (`plans.chained`): all rounds follow from one
+    aggregation of moments by pattern of nulls.  With more than
+    ``max_patterns`` patterns the moments of each regression are aggregated
+    anew, a column at a time, with a reliable checkpoint per round.
     """
     df = _nan_to_null(df)
     cat, _ = _missing_cols(df, string_columns(df, exclude))
@@ -134,41 +125,32 @@ def mice_imputation(df: DataFrame, max_iter: int = 10, tol: float = 1e-3, lam: f
     miss, nc = _missing_cols(out, num)
     if not miss:
         return out
-    order = sorted(miss, key=lambda c: (nc[c], num.index(c)))
+    done = chained_ridge(out, num, max_iter, tol, max_patterns)
+    return done if done is not None else _by_column(out, num, sorted(miss, key=lambda c: (nc[c], num.index(c))), max_iter, tol)
+
+
+def _by_column(out: DataFrame, num: list[str], order: list[str], max_iter: int, tol: float) -> DataFrame:
+    """The same regressions, with a pass over the rows for each."""
     stats = out.agg(*[F.avg(c).alias(f"m_{c}") for c in num],
-                    F.max(F.greatest(*[F.abs(F.col(c)) for c in num])).alias("_absmax")).first()
-    cur = out.withColumns({f"_miss_{c}": F.col(c).isNull() for c in miss})
-    cur = cur.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(stats[f"m_{c}"]))
-                           for c in miss})
+                    F.max(F.greatest(*[F.coalesce(F.abs(F.col(c)), F.lit(0.0)) for c in num], F.lit(0.0))).alias("_absmax")).first()
+    cur = out.withColumns({f"_miss_{c}": F.col(c).isNull() for c in order})
+    cur = cur.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(stats[f"m_{c}"] or 0.0)) for c in order})
     cur = cut_lineage(cur)
     threshold = tol * (stats["_absmax"] or 0.0)
     for _ in range(max_iter):
-        prev = {c: f"_prev_{c}" for c in miss}
-        cur = cur.withColumns({prev[c]: F.col(c) for c in miss})
+        prev = {c: f"_prev_{c}" for c in order}
+        cur = cur.withColumns({prev[c]: F.col(c) for c in order})
         for c in order:
-            others = [o for o in num if o != c]
-            feats = [F.lit(1.0)] + [F.col(o).cast("double") for o in others]
-            obs = ~F.col(f"_miss_{c}")
-            sums = []
-            for i, a in enumerate(feats):
-                for j in range(i, len(feats)):
-                    sums.append(F.sum(F.when(obs, a * feats[j])).alias(f"a{i}_{j}"))
-                sums.append(F.sum(F.when(obs, a * F.col(c))).alias(f"b{i}"))
-            r = cur.agg(*sums).first()
-            m = len(feats)
-            xtx = np.zeros((m, m))
-            xty = np.zeros(m)
-            for i in range(m):
-                xty[i] = r[f"b{i}"] or 0.0
-                for j in range(i, m):
-                    xtx[i, j] = xtx[j, i] = r[f"a{i}_{j}"] or 0.0
-            beta = _ridge(xtx, xty, lam * max(1.0, float(np.trace(xtx)) / m))
-            pred = F.lit(float(beta[0]))
-            for b, o in zip(beta[1:], others):
-                pred = pred + F.lit(float(b)) * F.col(o)
+            centred = [F.col(o).cast("double") - float(stats[f"m_{o}"] or 0.0) for o in num]
+            rows = cur.select(F.col(f"_miss_{c}").cast("int").cast("string").alias("pattern"),
+                              *(v.alias(f"c{i}") for i, v in enumerate(centred)))
+            moments = pattern_moments(rows.where("pattern = '0'"), len(num)).get("0")
+            if moments is None:
+                continue
+            beta = regression(moments, num.index(c) + 1)
+            pred = sum((float(b) * v for b, v in zip(beta[1:], centred, strict=True)), F.lit(float(beta[0] + (stats[f"m_{c}"] or 0.0))))
             cur = cur.withColumn(c, F.when(F.col(f"_miss_{c}"), pred).otherwise(F.col(c)))
-        delta = cur.agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(prev[c])) for c in miss]
-                                         + [F.lit(0.0)])).alias("d")).first()["d"] or 0.0
+        delta = cur.agg(F.max(F.greatest(*[F.abs(F.col(c) - F.col(prev[c])) for c in order], F.lit(0.0))).alias("d")).first()["d"] or 0.0
         cur = cut_lineage(cur.drop(*prev.values()))
         if delta < threshold:
             break
