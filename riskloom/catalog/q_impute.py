@@ -6,7 +6,7 @@ from riskloom.catalog.registry import register, view, view_sql
 from riskloom.operators import impute as IM
 
 PN = view_sql("part_n")
-NUM = ["p_partkey", "p_size", "p_retailprice", "p_weight"]
+NUM = ["p_size", "p_retailprice", "p_weight"]  # the key is no coordinate
 STR = ["p_brand", "p_type"]
 
 
@@ -64,7 +64,7 @@ def _knn_fill(c, cols, coords):
           + ", ".join(_knn_fill(c, NUM, NUM) for c in ["p_size", "p_retailprice", "p_weight"])
           + f" FROM {PN} AS p", operators="IM2")
 def impute_knn(spark, sf):
-    return IM.knn_imputation(view(spark, sf, "part_n"), key="p_partkey")
+    return IM.knn_imputation(view(spark, sf, "part_n"), key="p_partkey", exclude=["p_partkey"])
 
 
 _LOW = ["p_size", "p_retailprice"]

@@ -99,13 +99,13 @@ def smote(df: DataFrame, label: str, features: str, key: str, k_neighbors: int =
     """BA1: synthesise minority rows ``x + u * (neighbour - x)`` up to parity.
 
     ``features`` is an array<double> column.  Neighbours are the exact
-    ``k`` nearest minority rows (``plans.knn.knn_pairs``: banded join, no
-    all-pairs step).  Each minority row (in hash order) makes an equal share
+    ``k`` nearest minority rows (``plans.pivots``: blocks of rows that the
+    triangle inequality can't rule out are compared).  Each minority row (in hash order) makes an equal share
     of the synthetic rows; the neighbour and ``u`` come from hashes of (row,
     draw, seed), so the output is reproducible under any partitioning.
     Returns the input plus the synthetic rows (``synthetic`` = 1).
     """
-    from riskloom.plans.knn import knn_pairs
+    from riskloom.plans.pivots import nearest_rows
 
     counts = class_counts(df, label)
     if len(counts) < 2:
@@ -118,7 +118,7 @@ def smote(df: DataFrame, label: str, features: str, key: str, k_neighbors: int =
         return base
     minor = df.where(F.col(label) == F.lit(mino)).select(key, features)
     kk = min(k_neighbors, n_min - 1)
-    nn = knn_pairs(minor, key, features, kk)  # key, nbr_rank (1..kk), nbr_key, nbr_features
+    nn = nearest_rows(minor, key, features, kk)  # key, nbr_rank (1..kk), nbr_key, nbr_features
     nbrs = nn.groupBy(key).agg(F.sort_array(F.collect_list(
         F.struct("nbr_rank", F.col("nbr_features").alias("f")))).alias("nbrs"))  # kk per row
     ranked = exact_rank(minor.withColumn("_ord", F.xxhash64(F.lit(seed), F.col(key))),

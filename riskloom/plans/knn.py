@@ -172,45 +172,3 @@ def knn_impute(df: DataFrame, key: str, cols: Sequence[str], k: int = 5,
     out = df.join(wide, df[key] == wide["_key"], "left")
     return out.select(*[(F.coalesce(df[c].cast("double"), F.col(f"_f{cols.index(c)}")).alias(c)
                          if c in filled else df[c]) for c in df.columns])
-
-
-def knn_pairs(df: DataFrame, key: str, features: str, k: int, cell_target: int = 256) -> DataFrame:
-    """Exact ``k`` nearest other rows (Euclidean) for a complete array column.
-
-    Same two-phase band as ``knn_impute`` on the coordinate with the widest
-    spread.  Output ``key, nbr_rank (1..k), nbr_key, nbr_features``; ties are
-    cut by neighbour key.
-    """
-    spread = (df.select(F.posexplode(features).alias("_j", "_v")).groupBy("_j")
-              .agg(F.stddev_pop("_v").alias("s"), F.min("_v").alias("lo"), F.max("_v").alias("hi"),
-                   F.count(F.lit(1)).alias("n")).orderBy(F.desc("s"), "_j").first())
-    j, lo, hi, n = spread["_j"], spread["lo"], spread["hi"], spread["n"]
-    cells = max(1, math.ceil(n / cell_target))
-    width = (hi - lo) / cells if hi > lo else 1.0
-
-    def cell(v):
-        return F.least(F.greatest(F.floor((v - F.lit(lo)) / F.lit(width)), F.lit(0)), F.lit(cells - 1))
-
-    pts = df.select(F.col(key).alias("_key"), F.col(features).cast("array<double>").alias("_x"))
-    pts = pts.withColumn("_v", F.element_at("_x", j + 1))
-    other = pts.select(F.col("_key").alias("_nkey"), F.col("_x").alias("_nx"),
-                       F.col("_v").alias("_nv"), cell(F.col("_v")).alias("_cell"))
-    sq = F.zip_with("_x", "_nx", lambda a, b: (a - b) * (a - b))
-    dist = F.sqrt(F.aggregate(sq, F.lit(0.0), lambda acc, e: acc + e))
-    c0 = cell(F.col("_v"))
-    p1 = pts.withColumn("_cell", F.explode(F.sequence(c0 - 1, c0 + 1)))
-    cand1 = (p1.join(other, on="_cell").where(F.col("_key") != F.col("_nkey"))
-             .select("_key", dist.alias("_d")))
-    radius = (cand1.withColumn("_rn", F.row_number().over(Window.partitionBy("_key").orderBy("_d")))
-              .where(F.col("_rn") == k).select("_key", F.col("_d").alias("_r")))
-    p2 = pts.join(radius, on="_key", how="left")
-    lo_c = F.when(F.col("_r").isNull(), F.lit(0)).otherwise(cell(F.col("_v") - F.col("_r")))
-    hi_c = F.when(F.col("_r").isNull(), F.lit(cells - 1)).otherwise(cell(F.col("_v") + F.col("_r")))
-    p2 = p2.withColumn("_cell", F.explode(F.sequence(lo_c.cast("long"), hi_c.cast("long"))))
-    cand = (p2.join(other, on="_cell").where(F.col("_key") != F.col("_nkey"))
-            .withColumn("_d", dist)
-            .where(F.col("_r").isNull() | (F.col("_d") <= F.col("_r"))))
-    w = Window.partitionBy("_key").orderBy("_d", "_nkey")
-    top = cand.withColumn("nbr_rank", F.row_number().over(w)).where(F.col("nbr_rank") <= k)
-    return top.select(F.col("_key").alias(key), "nbr_rank", F.col("_nkey").alias("nbr_key"),
-                      F.col("_nx").alias("nbr_features"))
