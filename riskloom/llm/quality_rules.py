@@ -6,13 +6,13 @@ normalised lines are hashed, the distinct documents that hold a line are
 counted per host, lines above the limits are removed, and documents that lose
 too much are rejected.
 
-Documents of one normalised text are one document: exact copies of a page
-don't make its lines common.
+Documents of one text are one document: copies of a page don't make its lines
+common.
 
 Words and repeats are counted in arrays of one document, without a shuffle.
 Lines are a row each from the start: (host, line, document) is aggregated in
-the tasks before it is shuffled, and no table of all lines is written.  Only
-lines above the limits are kept, and the texts are read once more to find them.
+the tasks before it is shuffled, and the lines above the limits are joined back
+to the lines, which are written once as hashes.
 """
 
 from __future__ import annotations
@@ -71,10 +71,10 @@ def line_hash(line: Column) -> Column:
 
 
 def document_lines(rows: DataFrame) -> DataFrame:
-    """(tk, host, document, at, line, words): a row for each non-blank line; ``document`` tells normalised texts apart."""
-    split = rows.select("tk", "host", F.md5(normal(F.col("text"))).alias("document"), F.posexplode(F.split("text", "\n", -1)).alias("at", "raw"))
+    """(tk, host, document, at, line, words): a row for each non-blank line."""
+    raw = rows.select("tk", "host", "document", F.posexplode(F.split("text", "\n", -1)).alias("at", "raw")).where(F.col("raw").rlike(WORD))
     words = F.size(F.split(F.trim(F.regexp_replace("raw", BLANKS, " ")), " "))
-    return split.where(F.col("raw").rlike(WORD)).select("tk", "host", "document", "at", line_hash(F.col("raw")).alias("line"), words.alias("words"))
+    return raw.select("tk", "host", "document", "at", line_hash(F.col("raw")).alias("line"), words.alias("words"))
 
 
 def distinct_documents(rows: DataFrame, by: list[str]) -> DataFrame:
@@ -82,18 +82,22 @@ def distinct_documents(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by, "document").agg(F.lit(1).alias("one")).groupBy(*by).agg(F.count("*").alias("n"))
 
 
-def common_lines(rows: DataFrame, min_docs: int, host_share: float) -> DataFrame:
+def common_lines(rows: DataFrame, lines: DataFrame, min_docs: int, host_share: float) -> DataFrame:
     """(host, line) of the lines above the limits: in at least ``min_docs`` distinct documents of the host, and in
     at least ``host_share`` of them."""
-    of_host = distinct_documents(rows.select("host", F.md5(normal(F.col("text"))).alias("document")), ["host"])
-    counts = distinct_documents(document_lines(rows), ["host", "line"]).where(F.col("n") >= min_docs)
-    return counts.join(of_host.withColumnRenamed("n", "docs"), "host").where(F.col("n") >= host_share * F.col("docs")).select("host", "line")
+    of_host = distinct_documents(rows, ["host"]).withColumnRenamed("n", "docs")
+    counts = distinct_documents(lines, ["host", "line"]).where(F.col("n") >= min_docs)
+    return counts.join(of_host, "host").where(F.col("n") >= host_share * F.col("docs")).select("host", "line")
+
+
+def text_digest(text_col: str) -> Column:
+    return F.md5(F.coalesce(F.col(text_col), F.lit("")))
 
 
 def row_key(id_col: str, text_col: str, host_col: str) -> Column:
     """Tells rows of one id and different texts or hosts apart (128 bits)."""
     known = F.coalesce(F.col(id_col).cast("string"), F.lit("-"))
-    return F.md5(F.concat_ws("\u0000", known, host(host_col), F.coalesce(F.col(text_col), F.lit(""))))
+    return F.md5(F.concat_ws("\u0000", known, host(host_col), text_digest(text_col)))
 
 
 def host(host_col: str) -> Column:
@@ -117,9 +121,11 @@ def judge(docs: DataFrame, min_docs: int = 20, host_share: float = 0.05, max_rem
     returned.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(id_col, text_col, host_col).alias("tk"),
-                       host(host_col).alias("host"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    common = written(common_lines(rows, min_docs, host_share), "snappy")
-    held = document_lines(rows).join(common, ["host", "line"]).groupBy("tk", "at").agg(  # repeated rows have one key
+                       host(host_col).alias("host"), text_digest(text_col).alias("document"),
+                       F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    lines = written(document_lines(rows), "snappy")
+    common = written(common_lines(rows, lines, min_docs, host_share), "snappy")
+    held = lines.join(common, ["host", "line"]).groupBy("tk", "at").agg(  # repeated rows have one key
         F.first("words").alias("words"), F.first("line").alias("line"))
     removed = written(held.groupBy("tk").agg(F.sum("words").cast("long").alias("n_common_words"), F.collect_set("line").alias("common")), "snappy")
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
@@ -159,8 +165,7 @@ def judge_sql(documents: str = "documents", min_docs: int = 20, host_share: floa
                      len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS words
               FROM raw WHERE regexp_matches(l, '[^\x20\x09-\x0D]')),
     doubled AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM lines GROUP BY doc_id),
-    texts AS (SELECT doc_id, host, md5(regexp_replace(lower(trim(regexp_replace(text, '[\x20\x09-\x0D]+', ' ', 'g'))), '[0-9]', '0', 'g')) AS document
-              FROM d),
+    texts AS (SELECT doc_id, host, md5(text) AS document FROM d),
     hosts AS (SELECT host, count(DISTINCT document) AS docs FROM texts GROUP BY host),
     counts AS (SELECT l.host, l.line, count(DISTINCT t.document) AS n FROM lines l JOIN texts t ON l.doc_id = t.doc_id GROUP BY ALL),
     common AS (SELECT c.host, c.line FROM counts c JOIN hosts h ON c.host = h.host
