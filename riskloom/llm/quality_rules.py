@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.session import written
+from riskloom.session import discard, written
 
 from .common import WORD
 
@@ -128,6 +128,8 @@ def judge(docs: DataFrame, min_docs: int = 20, host_share: float = 0.05, max_rem
     held = lines.join(common, ["host", "line"]).groupBy("tk", "at").agg(  # repeated rows have one key
         F.first("words").alias("words"), F.first("line").alias("line"))
     removed = written(held.groupBy("tk").agg(F.sum("words").cast("long").alias("n_common_words"), F.collect_set("line").alias("common")), "snappy")
+    for used in (lines, common):  # nothing reads them any more
+        discard(used)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     counts = written(base_counts(rows), "snappy")  # else a filter on the verdict would be pushed into the arrays' expressions
     return (counts.join(removed if with_common else removed.drop("common"), "tk", "left")
