@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskloom.session import written
+from riskloom.session import discard, written
 
 from .common import record, slices, utf8
 
@@ -283,6 +283,9 @@ def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 20, shard_ph
     routed = rows.withColumn("tk", F.xxhash64("text")).join(routes, "doc_id", "left")
     located = written(routed.mapInArrow(_locate(schema(found), phrase, window, shard_phrases, with_text), found))
 
+    for used in (grams, recurring):  # nothing reads them any more
+        discard(used)
+
     zipped = F.explode(F.arrays_zip("gram", "c1", "c2", "at", "start", "end"))
     occurrences = located.where("gram is not null").select("doc_id", "tk", zipped.alias("o")).select("doc_id", "tk", "o.*")
     contexts = written(occurrences.groupBy("gram", "c1", "c2").agg(F.min("doc_id").alias("first")))
