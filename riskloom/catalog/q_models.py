@@ -19,7 +19,7 @@ from riskloom.operators import tune as TU
 from riskloom.operators.balance import with_class_weights
 from riskloom.operators.boost import SecondOrderBoosting
 from riskloom.session import ensure_checkpoint_dir
-from riskloom.workflow import default_estimators, prepare, run
+from riskloom.workflow import default_estimators, prepare, run, save_reports
 
 _SHORT = ["lr", "rf", "xgb"]
 
@@ -225,6 +225,14 @@ def grid_search_logistic(spark, sf):
     return spark.createDataFrame([(float(s["C"]), r) for s, r in res], "C double, mean_recall double")
 
 
+@register("search_metrics_logistic", None, operators="TU2")
+def search_metrics_logistic(spark, sf):
+    """Recall, F1 and ROC AUC of every C, from the same fits."""
+    p, train = _prepared(spark, sf)
+    est = MD.logistic_model()
+    return TU.metric_table(spark, TU.search_metrics(est, TU.grid(est, {"C": config.LR_TUNE_C}), train))
+
+
 @register("random_search_forest", None, operators="TU4")
 def random_search_forest(spark, sf):
     p, train = _prepared(spark, sf)
@@ -296,3 +304,22 @@ def select_features_rfe(spark, sf):
 @register("workflow_reports", None, operators="main flow")
 def workflow_reports(spark, sf):
     return run(view(spark, sf, "patients"))["test_model_comparison_optimized"]
+
+
+@register("report_files", None, operators="IO4, IO5, EV9")
+def report_files(spark, sf):
+    """The main flow's report files, written and read back line by line.
+
+    The flow has the logistic model, its vote and the baseline, median
+    imputation and no polynomials or cross-validation: the files are what this
+    query is about.
+    """
+    import uuid
+
+    reports = run(view(spark, sf, "patients"), method="simple", run_cv=False, polynomial=False,
+                  estimators={"Logistic Regression": MD.logistic_model()})
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/reports-{uuid.uuid4().hex}"
+    save_reports(reports, path)
+    lines = spark.read.option("recursiveFileLookup", "true").text(path).select(
+        F.regexp_extract(F.input_file_name(), r"/([a-z_]+[.](?:csv|md))/", 1).alias("report"), F.col("value").alias("line"))
+    return lines

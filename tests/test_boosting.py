@@ -122,3 +122,22 @@ def test_no_rows_and_no_features(spark, rows):
     assert B.fit(B.bin_rows(rows.where("false"), "features", "label", CUTS), [B.Job(B.Setting(rounds=2))])[0].trees != []
     model = SecondOrderBoosting(maxIter=2).fit(rows.where("false"))
     assert model.trees == [] and [r.prediction for r in model.transform(rows.limit(1)).collect()] == [0.0]
+
+
+def test_every_metric_of_a_search_comes_from_the_same_fits(spark, rows):
+    from riskloom.operators.metrics import evaluate
+    from riskloom.operators.models import logistic_model, with_score
+
+    data = rows.where("label is not null")
+    est = logistic_model()
+    maps = tune.grid(est, {"C": [0.001, 1.0]})
+    found = tune.search_metrics(est, maps, data)
+    assert len(found.rows) == 2 * 3
+    model = est.copy(maps[1]).fit(data.where("fold <> 2"))
+    scored = with_score(model.transform(data.where("fold = 2"))).selectExpr("label", "score", "cast(prediction as int) prediction")
+    alone = evaluate(scored, "label", "prediction", "score").first()
+    same = next(r for r in found.rows if r["setting"] == 1 and r["fold"] == 2)
+    assert all(abs(same[m] - alone[m]) < 1e-9 for m in ("recall", "f1", "roc_auc"))
+    table = tune.metric_table(spark, found).collect()
+    assert len(table) == 6 and sum(r.best for r in table) == 3
+    assert found.bestModel.coefficients.size == 4
