@@ -246,7 +246,7 @@ def random_search_boosting(spark, sf):
 
     p, train = _prepared(spark, sf)
     est = SecondOrderBoosting(scalePosWeight=scale_pos_weight(train, "label"))
-    res = TU.search_results(TU.random_search("xgboost", est, train))
+    res = TU.search_results(TU.random_search("second_order", est, train))
     return spark.createDataFrame([(str(s), r) for s, r in res], "setting string, mean_recall double")
 
 
