@@ -38,7 +38,7 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))  # a null id is not held out
     ranking = classifier.fit_on(docs.where(~held_out), labels.where(~held_out).select("doc_id", "quality"))
     return classifier.score_documents(docs, ranking).withColumn("held_out", held_out)
 
