@@ -7,13 +7,17 @@ covers it also starts in a document with a smaller id.
    smallest hash is chosen.  Equal windows choose equal phrases, so a window
    that recurs holds a chosen phrase that recurs.  Phrases chosen in two or
    more documents are the recurring phrases.
-2. Each document meets its own recurring phrases again.  Runs of documents
-   compile theirs into an Aho-Corasick automaton (a shard: at most
-   ``shard_phrases`` phrases and a run more) and are streamed through it,
-   which locates every occurrence of every phrase of the shard by its text.
-   A document's recurring phrases are all in its own shard, so no other shard
-   can hold one that it needs.
-3. Confirmation: each occurrence has a context, all windows that hold it, with
+2. Each recurring phrase belongs to its first holder, the smallest id, which
+   gives its text.  The phrases of one holder share a shard (a shard: about
+   ``shard_phrases`` phrases; the phrases of longer holders are dealt to
+   several), as copies of a document meet few shards that way.
+3. A document is streamed past every shard that one of its chosen phrases
+   leads to.  The shard's Aho-Corasick automaton over words, compiled from the
+   phrase texts, locates every occurrence of every phrase of the shard; nothing
+   else tells where phrases are.  The documents of a shard are dealt to parts
+   of about ``shard_docs``, each with the shard's phrases, so that a passage in
+   any number of documents is spread over tasks.
+4. Confirmation: each occurrence has a context, all windows that hold it, with
    a 128-bit hash.  A document that is not the first of its context loses the
    whole context.  The first document of a context loses the windows that
    occur in an earlier document with another context of the same phrase;
@@ -21,7 +25,8 @@ covers it also starts in a document with a smaller id.
 
 Every group is pre-aggregated (smallest id); joins back to documents read
 written tables on both sides, which lets adaptive execution split hot keys.
-Nothing is collected but one document's own phrases and ranges.
+Nothing is collected but one document's own phrases, shards and ranges.
+Phrases are named by 64-bit hashes, contexts and windows by 128 bits.
 """
 
 from __future__ import annotations
@@ -42,6 +47,9 @@ from .common import record, slices, utf8
 GRAMS = pa.schema([("doc_id", pa.int64()), ("grams", pa.list_(pa.int64()))])
 WINDOWS = pa.schema([("doc_id", pa.int64()), ("tk", pa.int64()), ("w1", pa.int64()), ("w2", pa.int64()),
                      ("start", pa.int32())])
+STREAM = pa.schema([("shard", pa.int64()), ("doc_id", pa.int64()), ("tk", pa.int64()), ("gram", pa.int64()),
+                    ("text", pa.binary())])
+FOUND = pa.schema([(c, pa.int64()) for c in ("doc_id", "tk", "gram", "c1", "c2", "at", "start", "end")])
 FIRST, SECOND = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93  # odd multipliers of the rolling hashes
 
 
@@ -135,51 +143,73 @@ def _occurrences(words: list[bytes], hashes: np.ndarray, matches: list[tuple[int
             "c1": mix(first + shape.astype(np.uint64)).view(np.int64), "c2": second.view(np.int64)}
 
 
-def _locate(schema: pa.Schema, phrase: int, window: int, shard_phrases: int, all_texts: bool):
+def _spread(phrase: int, window: int):
+    """A document's rows: the texts of the phrases that it holds first, and itself once a shard."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out: dict[str, list] = {f.name: [] for f in STREAM}
+
+            def put(*row):
+                for column, value in zip(out.values(), row, strict=True):
+                    column.append(value)
+
+            for name, tk, raw, shards, own in zip(
+                    *(batch.column(c).to_pylist() for c in ("doc_id", "tk")), utf8(batch.column("text")),
+                    *(batch.column(c).to_pylist() for c in ("shards", "own")), strict=True):
+                words = raw.split()
+                if len(words) < window:
+                    continue
+                if own:
+                    _, at, values = phrases(words, phrase, window)
+                    where = dict(zip(values.tolist(), at.tolist(), strict=True))
+                    for o in own:
+                        if (p := where.get(o["gram"])) is not None:
+                            put(o["shard"], None, None, o["gram"], b" ".join(words[p:p + phrase]))
+                for shard in shards:
+                    put(shard, name, tk, None, raw)
+            yield record(STREAM, **out)
+
+    return run
+
+
+def compiled(texts: list[tuple[int, bytes]]):
+    """(vocabulary, automaton) of (hash, phrase) pairs; the automaton reads the vocabulary's numbers."""
     import ahocorasick
 
-    def shard(rows: list[tuple]) -> Iterator[dict[str, np.ndarray]]:
-        """Occurrences in each document of a run, by the automaton of the run's phrases."""
-        automaton, held = ahocorasick.Automaton(), []
-        for words, grams in rows:
-            hashes, at, values = phrases(words, phrase, window)
-            held.append(hashes)
-            recurring = np.isin(values, grams)
-            for p, gram in zip(at[recurring].tolist(), values[recurring].tolist(), strict=True):
-                key = b" ".join([b"", *words[p:p + phrase], b""]).decode("latin-1")
-                automaton.add_word(key, (gram, len(key)))
-        if len(automaton):
-            automaton.make_automaton()
-        for (words, _), hashes in zip(rows, held, strict=True):
-            text = b" ".join([b"", *words, b""]).decode("latin-1")
-            offsets = np.cumsum([1, *(len(w) + 1 for w in words[:-1])])
-            found = [(end - size + 2, gram) for end, (gram, size) in automaton.iter(text)] if len(automaton) else []
-            at = np.searchsorted(offsets, [f[0] for f in found]).tolist()
-            matches = sorted({(p, gram) for p, (_, gram) in zip(at, found, strict=True)})
-            yield _occurrences(words, hashes, matches, phrase, window)
+    vocabulary: dict[bytes, int] = {}
+    automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
+    for gram, text in texts:
+        automaton.add_word(tuple(vocabulary.setdefault(w, len(vocabulary) + 1) for w in text.split()), gram)
+    automaton.make_automaton()
+    return vocabulary, automaton
+
 
+def _locate(phrase: int, window: int):
+    """Occurrences in the documents of each (shard, part), whose phrases come first in the sorted stream."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, texts, machine = None, [], None
         for batch in slices(batches):
-            texts, grams = utf8(batch.column("text")), batch.column("grams")
-            split = [raw.split() for raw in texts]
-            found: dict[int, dict[str, np.ndarray]] = {}
-            waiting: list[int] = []
-            n = 0
-            routed = [i for i in range(batch.num_rows) if grams[i].is_valid and len(split[i]) >= window]
-            for i in routed:
-                waiting.append(i)
-                n += len(grams[i])
-                if n >= shard_phrases or i == routed[-1]:
-                    rows = [(split[k], np.asarray(grams[k].values)) for k in waiting]
-                    found.update(zip(waiting, shard(rows), strict=True))
-                    waiting, n = [], 0
-            out = {c: batch.column(c) for c in ("doc_id", "tk", "carry")}
-            out["text"] = pa.array([t if all_texts or i in found else None for i, t in enumerate(texts)], pa.binary()).cast(pa.string())
-            out["n_words"] = pa.array([len(w) for w in split], pa.int64())
-            out["whole_sha256"] = pa.array([None if i in found else sha(w) for i, w in enumerate(split)], pa.string())
-            for c in ("gram", "c1", "c2", "at", "start", "end"):
-                out[c] = pa.array([found[i][c] if i in found else None for i in range(batch.num_rows)], schema.field(c).type)
-            yield pa.RecordBatch.from_arrays([out[f.name].cast(f.type) for f in schema], schema=schema)
+            out: dict[str, list] = {f.name: [] for f in FOUND}
+            keys = zip(batch.column("shard").to_pylist(), batch.column("part").to_pylist(), strict=True)
+            for key, name, tk, gram, raw in zip(keys, *(batch.column(c).to_pylist() for c in ("doc_id", "tk", "gram")),
+                                                utf8(batch.column("text")), strict=True):
+                if key != current:
+                    current, texts, machine = key, [], None
+                if name is None:
+                    texts.append((gram, raw))
+                    continue
+                if not texts:
+                    continue
+                machine = machine or compiled(texts)
+                words = raw.split()
+                numbers = tuple(machine[0].get(w, 0) for w in words)
+                matches = [(end - phrase + 1, value) for end, value in machine[1].iter(numbers)]
+                if matches:
+                    found = _occurrences(words, word_hashes(words), matches, phrase, window)
+                    found |= {"doc_id": np.full(len(matches), name), "tk": np.full(len(matches), tk)}
+                    for c, values in found.items():
+                        out[c].append(values)
+            yield record(FOUND, **{c: np.concatenate(v) if v else [] for c, v in out.items()})
 
     return run
 
@@ -223,38 +253,34 @@ def kept_text(raw: bytes, words: list[bytes], keep: np.ndarray) -> bytes:
 def _remove(schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            removed, digests, texts = [], [], []
-            for raw, whole, ranges in zip(utf8(batch.column("text")), batch.column("whole_sha256").to_pylist(),
-                                          batch.column("ranges").to_pylist(), strict=True):
-                if not ranges:
-                    removed.append(0)
-                    digests.append(whole or sha(raw.split()))
-                    texts.append(raw)
-                    continue
-                words = raw.split()
+            n_words, removed, digests, texts = [], [], [], []
+            for raw, ranges in zip(batch.column("text").cast(pa.binary()).to_pylist(), batch.column("ranges").to_pylist(),
+                                   strict=True):
+                words = (raw or b"").split()
                 edge = np.zeros(len(words) + 1, dtype=np.int64)
-                for r in ranges:
+                for r in ranges or ():
                     edge[r["start"]] += 1
                     edge[r["end"]] -= 1
                 keep = np.cumsum(edge[:-1]) == 0
+                n_words.append(len(words))
                 removed.append(int((~keep).sum()))
-                digests.append(sha([w for w, k in zip(words, keep.tolist(), strict=True) if k]))
-                texts.append(kept_text(raw, words, keep) if "text" in schema.names else b"")
-            out = {c: batch.column(c) for c in ("doc_id", "n_words", "carry")}
-            out |= {"n_removed": pa.array(removed, pa.int64()), "kept_sha256": pa.array(digests, pa.string()),
-                    "text": pa.array(texts, pa.binary()).cast(pa.string())}
+                digests.append(sha([w for w, k in zip(words, keep.tolist(), strict=True) if k] if ranges else words))
+                texts.append(kept_text(raw, words, keep) if ranges and "text" in schema.names else raw)
+            out = {c: batch.column(c) for c in ("doc_id", "carry")}
+            out |= {"n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+                    "kept_sha256": pa.array(digests, pa.string()), "text": pa.array(texts, pa.binary()).cast(pa.string())}
             yield pa.RecordBatch.from_arrays([out[f.name].cast(f.type) for f in schema], schema=schema)
 
     return run
 
 
-def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 20, shard_phrases: int = 10_000,
-                   id_col: str = "doc_id", text_col: str = "text", with_text: bool = False,
-                   carry: list[str] | None = None) -> DataFrame:
+def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 20, shard_phrases: int = 8_192,
+                   shard_docs: int = 1_024, id_col: str = "doc_id", text_col: str = "text",
+                   with_text: bool = False, carry: list[str] | None = None) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, text][, carry]) of every document.
 
     ``kept_sha256`` is of the kept words joined by one blank; ``text`` has the
-    kept runs as they stood; ``carry`` names columns returned unchanged in the
+    kept runs as they stood, and is unchanged where nothing is removed; ``carry`` names columns returned unchanged in the
     struct ``carry``, whatever their names.
 
     A null text has no words.  Texts of fewer than ``window`` words lose
@@ -268,45 +294,53 @@ def remove_repeats(docs: DataFrame, window: int = 50, phrase: int = 20, shard_ph
     rest = F.struct(*(F.col(f"`{c}`") for c in carry)) if carry else F.lit(True)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), rest.alias("carry"))
     known = rows.select("doc_id", "text").where("doc_id is not null")
+    named = known.withColumn("tk", F.xxhash64("text"))
     grams = written(known.mapInArrow(_choose(phrase, window), "doc_id long, grams array<long>")
                     .select("doc_id", F.explode("grams").alias("gram")))
     recurring = written(grams.groupBy("gram").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-                        .where("first < last").select("gram"))
-    routes = grams.join(recurring, "gram").groupBy("doc_id").agg(F.collect_set("gram").alias("grams"))
-
-    longs = "array<long>"
-    kind = dict(rows.dtypes)["carry"]
-    found = (f"doc_id long, tk long, carry {kind}, text string, n_words long, whole_sha256 string, gram {longs}, "
-             f"c1 {longs}, c2 {longs}, at {longs}, start {longs}, end {longs}")
-    spark = docs.sparkSession
-    schema = lambda ddl: to_arrow_schema(spark.createDataFrame([], ddl).schema)
-    routed = rows.withColumn("tk", F.xxhash64("text")).join(routes, "doc_id", "left")
-    located = written(routed.mapInArrow(_locate(schema(found), phrase, window, shard_phrases, with_text), found))
-
+                        .where("first < last").select("gram", "first"))
+
+    shards = max(1, -(-recurring.count() // shard_phrases))
+    held = recurring.groupBy("first").agg(F.ceil(F.count("*") / shard_phrases).alias("pieces"))
+    shard = F.pmod(F.xxhash64("first", F.pmod(F.xxhash64("gram"), "pieces")), F.lit(shards))
+    home = recurring.join(held, "first").select("gram", "first", shard.alias("shard"))
+    own = F.when(F.col("doc_id") == F.col("first"), F.struct("gram", "shard"))
+    routes = written(grams.join(home, "gram").groupBy("doc_id").agg(
+        F.collect_set("shard").alias("shards"), F.collect_set(own).alias("own")))
     for used in (grams, recurring):  # nothing reads them any more
         discard(used)
+    parts = (routes.select(F.explode("shards").alias("shard")).groupBy("shard")
+             .agg(F.ceil(F.count("*") / shard_docs).alias("parts")))
+    stream = named.join(routes, "doc_id").mapInArrow(
+        _spread(phrase, window), "shard long, doc_id long, tk long, gram long, text binary").join(parts, "shard")
+    every = F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)  # phrases go to all parts of their shard
+    mine = F.array(F.pmod(F.xxhash64("doc_id", "tk"), F.col("parts")))
+    dealt = (stream.withColumn("part", F.explode(F.when(F.col("doc_id").isNull(), every).otherwise(mine))).drop("parts")
+             .repartition("shard", "part").sortWithinPartitions("shard", "part", F.col("doc_id").asc_nulls_first()))
+    occurrences = written(dealt.mapInArrow(_locate(phrase, window), ", ".join(f"`{f.name}` long" for f in FOUND)))
+    discard(routes)
 
-    zipped = F.explode(F.arrays_zip("gram", "c1", "c2", "at", "start", "end"))
-    occurrences = located.where("gram is not null").select("doc_id", "tk", zipped.alias("o")).select("doc_id", "tk", "o.*")
     contexts = written(occurrences.groupBy("gram", "c1", "c2").agg(F.min("doc_id").alias("first")))
     several = written(contexts.groupBy("gram").agg(F.count("*").alias("n")).where("n > 1").select("gram"))
     judged = occurrences.join(contexts, ["gram", "c1", "c2"])
     later = judged.where(f"doc_id > first and end - start >= {window}").select("doc_id", "tk", "start", "end")
     open_at = (judged.where("doc_id = first").join(several, "gram", "left_semi")
                .groupBy("doc_id", "tk").agg(F.collect_set("at").alias("ats")))
-    texts = located.where("gram is not null").select("doc_id", "tk", "text").dropDuplicates(["doc_id", "tk"])
-    windows = written(texts.join(open_at, ["doc_id", "tk"]).mapInArrow(
+    windows = written(named.join(open_at, ["doc_id", "tk"]).mapInArrow(
         _windows(phrase, window), "doc_id long, tk long, w1 long, w2 long, start int"))
     seen = written(windows.groupBy("w1", "w2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
                    .where("first < last").select("w1", "w2", "first"))
     again = (windows.join(seen, ["w1", "w2"]).where("doc_id > first")
              .select("doc_id", "tk", F.col("start").cast("long"), (F.col("start") + window).cast("long").alias("end")))
-    ranges = later.unionByName(again).groupBy("doc_id", "tk").agg(
-        F.collect_set(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("ranges"))
+    ranges = written(later.unionByName(again).groupBy("doc_id", "tk").agg(
+        F.collect_set(F.struct(F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("ranges")))
+    for used in (occurrences, contexts, several, windows, seen):
+        discard(used)
 
+    kind = dict(rows.dtypes)["carry"]
     out = f"doc_id long, n_words long, n_removed long, kept_sha256 string, carry {kind}" + ", text string" * with_text
-    judged_docs = located.select("doc_id", "tk", "carry", "text", "n_words", "whole_sha256").join(ranges, ["doc_id", "tk"], "left")
-    result = judged_docs.mapInArrow(_remove(schema(out)), out)
+    schema = to_arrow_schema(docs.sparkSession.createDataFrame([], out).schema)
+    result = rows.withColumn("tk", F.xxhash64("text")).join(ranges, ["doc_id", "tk"], "left").mapInArrow(_remove(schema), out)
     return result if carry else result.drop("carry")
 
 

@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from riskloom.llm import substring
 from riskloom.llm.embeddings import embedding_components
 from riskloom.llm.graph import connected_components
 from riskloom.llm.simhash import fingerprint, shifts, simhash_components, simhash_links, tile_edges
@@ -129,6 +130,28 @@ def test_repeats_return_texts_and_columns(docs):
         assert hashlib.sha256(b" ".join(words)).hexdigest() == r.kept_sha256 and r.carry.key == "k"
 
 
+def test_automata_decide_what_goes(spark, monkeypatch):
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = spark.createDataFrame([(i, f"a{i} {passage} z{i}") for i in range(5)], "doc_id long, text string")
+    removed = lambda: sorted(r.n_removed for r in remove_repeats(rows, shard_docs=2).collect())
+    assert removed() == [0, 60, 60, 60, 60]
+    # emptied automata find nothing, so nothing goes
+    monkeypatch.setattr(substring, "_locate", lambda phrase, window: lambda batches: substring_none(batches))
+    assert removed() == [0] * 5
+
+
+def substring_none(batches):
+    for _ in batches:
+        yield substring.record(substring.FOUND, **{f.name: [] for f in substring.FOUND})
+
+
+def test_phrases_are_located_by_their_words():
+    vocabulary, automaton = substring.compiled([(7, b"a b c"), (8, b"b c d"), (9, b"c cc c")])
+    words = b"x a b c d a bb c cc c".split()
+    found = [(end - 2, gram) for end, gram in automaton.iter(tuple(vocabulary.get(w, 0) for w in words))]
+    assert found == [(1, 7), (2, 8), (7, 9)]
+
+
 def test_repeats_of_nothing(no_docs):
     assert remove_repeats(no_docs).collect() == []
 
