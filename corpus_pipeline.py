@@ -42,9 +42,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Words of passages that an earlier document holds go; a document that loses none stays as it was."""
     ship_package(spark)
-    out = substring.remove_repeats(docs, with_text=True, carry=docs.columns)
-    text = F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("carry.text"))
-    rest = [text.alias(c) if c == "text" else F.col(f"carry.`{c}`").alias(c) for c in docs.columns]
+    out = substring.remove_repeats(docs, with_text=True, carry=[c for c in docs.columns if c != "text"])
+    rest = [F.col("text") if c == "text" else F.col(f"carry.`{c}`").alias(c) for c in docs.columns]
     return _measured(out.select(*rest), docs.columns)
 
 
