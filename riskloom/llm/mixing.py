@@ -8,8 +8,10 @@ selected: every document of a pattern is taken as often as the flow has whole
 passes over the pattern, and a seeded order of the pattern's documents fills
 the rest of each source's share.
 
-Only the pattern table reaches the driver: ``max_patterns`` bounds it, and a
-larger one raises.  Running sums in the seeded order are taken within buckets
+Sources and their targets are a Spark table of any size.  A source that
+overlaps with no other has one pattern, whose flow is its quota; only the
+patterns of overlapping sources reach the driver for the flow, which is
+sequential: more than ``max_patterns`` of those raise.  Running sums in the seeded order are taken within buckets
 and shifted by the buckets' totals, so a source of any size is dealt to many
 tasks.
 """
@@ -25,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskloom.session import written
+from riskloom.session import discard, written
 
 from .common import record, utf8
 
@@ -95,6 +97,35 @@ def targets(sizes: list[int], weights: list[float], total: int, max_repeats: int
     return out
 
 
+def ranked(sources: DataFrame) -> DataFrame:
+    """``rank`` (from 0) of the sources in code point order, null last; they are sorted by ranges."""
+    order = [F.col("source").isNull(), F.col("source")]
+    parts = written(sources.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # over a row per range
+    shifts = (parts.groupBy("part").agg(F.count("*").alias("n"))
+              .select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("shift")))
+    place = F.row_number().over(Window.partitionBy("part").orderBy(*order)) - 1
+    return parts.withColumn("place", place).join(shifts, "part").withColumn("rank", F.col("shift") + F.col("place")).drop(
+        "part", "place", "shift")
+
+
+def source_targets(sources: DataFrame, total: int, max_repeats: int) -> DataFrame:
+    """`targets` of a table of sources (``own``, ``weight``), as its column ``target``.
+
+    Each pass finds the sources above their limit at the level of the pass before, until there are no more of them.
+    """
+    limit, n = (max_repeats * F.col("own")).cast("double"), 0
+    left, free = float(total), sources.agg(F.sum("weight")).first()[0]
+    while free:
+        share = F.lit(left) * F.col("weight") / F.lit(free)
+        over = share > limit
+        found = sources.agg(F.count_if(over), F.sum(F.when(over, limit)), F.sum(F.when(~over, F.col("weight")))).first()
+        if found[0] == n:
+            return sources.withColumn("target", F.when(over, limit).otherwise(share))
+        n, left, free = found[0], total - found[1], found[2]
+    return sources.withColumn("target", limit)
+
+
 def route(patterns: list[tuple[tuple[int, ...], int]], quotas: list[int], max_repeats: int) -> list[dict[int, int]]:
     """Tokens that each pattern (its sources, its size) gives to each source.
 
@@ -159,29 +190,42 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), max_repeats: in
                        order_key(id_col, text_col, seed).alias("key"), text.alias("text"))
     sized = written(rows.mapInArrow(_sizes, "doc_id long, pattern string, key string, size long"))
 
-    found = [(json.loads(r["pattern"]), r["pattern"], int(r["words"]), int(r["docs"])) for r in
-             sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.count("*").alias("docs"))
-             .limit(max_patterns + 1).collect()]
-    if len(found) > max_patterns:
-        raise ValueError(f"more than {max_patterns} membership patterns")
-    names = sorted({s for p, *_ in found for s in p}, key=lambda s: (s is None, s or ""))
+    patterns = written(sized.groupBy("pattern").agg(F.sum("size").alias("words"), F.count("*").alias("docs")))
+    members = patterns.select("pattern", "words", F.explode(F.from_json("pattern", "array<string>")).alias("source"))
+    members = members.withColumn("tag", F.to_json(F.array("source")))  # a null source has a tag, too
+    one = F.col("pattern") == F.col("tag")
+    own = written(ranked(members.groupBy("tag", "source").agg(F.sum("words").alias("own"), (~F.every(one)).alias("overlaps"))))
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), (F.col("rank") % len(weights) + 1).cast("int"))
+    words = patterns.agg(F.sum("words")).first()[0] or 0 if total is None else total
+    goals = written(source_targets(own.withColumn("weight", weight), words, max_repeats)
+                    .withColumn("quota", F.floor(F.col("target") + 0.5)))
+    first = F.min_by(F.struct("own", "target", "quota"), "rank").alias("first")
+    judged = members.join(goals, "tag").groupBy("pattern").agg(first, F.bool_or("overlaps").alias("overlaps"))
+    judged = written(patterns.join(judged, "pattern").select(
+        "pattern", "words", "docs", F.col("first.own").alias("source_size"), "first.target", "first.quota", "overlaps"))
+
+    routed = judged.where("overlaps").select("pattern", "words").limit(max_patterns + 1).collect()
+    if len(routed) > max_patterns:
+        raise ValueError(f"more than {max_patterns} membership patterns of overlapping sources")
+    met = [json.loads(r["pattern"]) for r in routed]
+    quotas = {r["source"]: int(r["quota"]) for r in (goals.where("overlaps").collect() if routed else [])}
+    names = sorted(quotas, key=lambda s: (s is None, s or ""))
     number = {s: i for i, s in enumerate(names)}
-    found.sort(key=lambda p: sorted(number[s] for s in p[0]))
-    own = [sum(w for p, _, w, _ in found if s in p) for s in names]
-    words = sum(w for *_, w, _ in found) if total is None else total
-    goal = targets(own, [weights[i % len(weights)] for i in range(len(names))], words, max_repeats)
-    given = route([(tuple(number[s] for s in p), w) for p, _, w, _ in found], [math.floor(g + 0.5) for g in goal], max_repeats)
-
-    plan = []
-    for (p, pattern, w, n), share in zip(found, given, strict=True):
-        passes, rest = divmod(sum(share.values()), w) if w else (0, 0)
-        first = min(number[s] for s in p)
-        plan.append((pattern, passes, rest, own[first], goal[first], max(1, -(-n // rows_per_bucket))))
-    plan = spark.createDataFrame(plan, "pattern string, passes long, rest long, source_size long, target double, buckets long")
+    arcs = sorted((tuple(number[s] for s in p), int(r["words"]), r["pattern"]) for p, r in zip(met, routed, strict=True))
+    given = route([a[:2] for a in arcs], [quotas[s] for s in names], max_repeats)
+    flow = spark.createDataFrame([(a[2], sum(g.values())) for a, g in zip(arcs, given, strict=True)], "pattern string, given long")
+    taken = judged.join(flow, "pattern", "left").withColumn("given", F.when(F.col("overlaps"), F.col("given")).otherwise(F.col("quota")))
+    plan = written(taken.select(
+        "pattern", "source_size", "target", F.ceil(F.col("docs") / rows_per_bucket).alias("buckets"),
+        *(F.when(F.col("words") > 0, F.expr(e)).otherwise(0).alias(c) for c, e in
+          (("passes", "given div nullif(words, 0)"), ("rest", "given % nullif(words, 0)")))))
+    small = plan.count() <= max_patterns  # a larger plan is joined by pattern
+    for used in (patterns, own, goals, judged):
+        discard(used)
 
     # the key's first 32 bits split a pattern's order into buckets
     place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long") * F.col("buckets")
-    placed = sized.join(F.broadcast(plan), "pattern").withColumn("bucket", F.shiftright(place, 32))
+    placed = sized.join(F.broadcast(plan) if small else plan, "pattern").withColumn("bucket", F.shiftright(place, 32))
     before = lambda c, w: F.coalesce(F.sum(c).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     shifts = (placed.groupBy("pattern", "bucket").agg(F.sum("size").alias("words"))
               .select("pattern", "bucket", before("words", Window.partitionBy("pattern").orderBy("bucket")).alias("shift")))

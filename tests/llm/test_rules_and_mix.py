@@ -216,8 +216,30 @@ def test_mix_of_overlapping_sources(spark, docs):
     frame = spark.createDataFrame(rows, "doc_id long, text string, source array<string>")
     got = mixing.mix(frame, total=300).collect()
     assert len(got) == 60 and sum(r.taken for r in got) == 300
+    # the bound is on the two patterns of the overlapping sources, not on all three
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(frame, total=300, max_patterns=2).collect()))
     with pytest.raises(ValueError):
-        mixing.mix(frame, max_patterns=2)
+        mixing.mix(frame, max_patterns=1)
+
+
+def test_any_number_of_sources_without_overlaps(spark):
+    rows = [(i, "w " * (1 + i % 7), f"s{i % 40:02}" if i % 11 else None) for i in range(300)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert sorted(map(str, mixing.mix(frame, max_patterns=0).collect())) == sorted(map(str, mixing.mix(frame).collect()))
+
+
+def test_targets_of_a_table_equal_those_of_a_list(spark):
+    sizes, weights = [0, 1, 5, 10, 400, 800], [1.0, 2.0, 3.0, 1.0, 2.0, 3.0]
+    frame = spark.createDataFrame([(i, s, w) for i, (s, w) in enumerate(zip(sizes, weights))], "i int, own long, weight double")
+    for total in (0, 100, 1216, 3648, 5000):
+        got = [r.target for r in mixing.source_targets(frame, total, 3).sort("i").collect()]
+        assert got == mixing.targets(sizes, weights, total, 3)
+
+
+def test_sources_are_ranked_in_code_point_order(spark):
+    names = ["b", None, "a", "", "\uffee", "\U0001f600", "Z"]
+    got = mixing.ranked(spark.createDataFrame([(n,) for n in names], "source string")).sort("rank").collect()
+    assert [r.source for r in got] == ["", "Z", "a", "b", "\uffee", "\U0001f600", None]
 
 
 def test_mix_of_nothing(no_docs):
