@@ -44,21 +44,27 @@ def assign_shards(docs: DataFrame, shards: list[str], slots: int = 65_537, id_co
 
     The slot is the id's xxHash64 modulo ``slots``.  Rows of one id meet in
     one shard; null ids share the slot of the hash's seed.  The table has
-    ``slots`` rows, which bounds the broadcast.
+    ``slots`` rows, which bounds the broadcast.  An empty table gives no rows.
     """
     spark = docs.sparkSession
-    table = spark.createDataFrame([(k, shards[i]) for k, i in enumerate(lookup_table(shards, slots))],
-                                  "_slot int, _shard string")
-    slot = F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(slots)).cast("int")
-    placed = docs.withColumn("slot", slot)
-    return (placed.join(F.broadcast(table), placed["slot"] == table["_slot"])
-            .withColumn("shard", F.col("_shard")).drop("_slot", "_shard"))
+    table = spark.createDataFrame([(k, shards[i]) for k, i in enumerate(lookup_table(shards, slots))], "slot int, shard string")
+    slot = F.pmod(F.xxhash64(F.col(f"`{id_col}`").cast("string")), F.lit(slots)).cast("int")
+    # the row is one value, so that no column of it can bear a name used here
+    packed = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), slot.alias("slot"))
+    kept = [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in ("slot", "shard")]
+    return packed.join(F.broadcast(table), "slot").select(*kept, "slot", "shard")
 
 
 def write_shards(docs: DataFrame, path: str, shards: list[str], slots: int = 65_537, id_col: str = "doc_id",
-                 files_per_shard: int = 8) -> None:
-    """One Parquet folder per shard, each written by ``files_per_shard`` tasks: no task takes a whole shard."""
+                 rows_per_file: int = 100_000) -> None:
+    """One Parquet folder per shard, written by as many tasks as give them ``rows_per_file`` rows on average.
+
+    Rows are dealt to a shard's tasks by id and content, so neither null ids
+    nor many versions of one id meet in one task; only equal rows do.
+    """
+    files = max(1, -(-docs.count() // (len(shards) * rows_per_file)))
     placed = assign_shards(docs, shards, slots, id_col)
-    part = F.pmod(F.xxhash64(F.lit(3), F.col(id_col).cast("string")), F.lit(files_per_shard))
-    (placed.repartition(len(shards) * files_per_shard, "shard", part)
+    content = [c for c, kind in placed.dtypes if "map<" not in kind and "variant" not in kind]  # these have no hash
+    part = F.pmod(F.xxhash64(F.lit(3), *(F.col(f"`{c}`") for c in content)), F.lit(files))
+    (placed.repartition(len(shards) * files, "shard", part)
      .write.partitionBy("shard").parquet(path))

@@ -141,6 +141,34 @@ def test_every_row_is_placed_by_the_table(odd_docs, no_docs):
     assert sharding.assign_shards(no_docs, names, 101).collect() == []
 
 
+def test_slots_are_claimed_in_turns():
+    import xxhash
+
+    names, slots = ["b", "a", "c"], 31
+    wish = {n: [(xxhash.xxh64_intdigest(n, 1) + k * (xxhash.xxh64_intdigest(n, 2) % (slots - 1) + 1)) % slots
+                for k in range(slots)] for n in names}
+    owner = {}
+    for turn in range(slots):
+        n = sorted(names)[turn % 3]
+        owner[next(x for x in wish[n] if x not in owner)] = n
+    assert [names[i] for i in sharding.lookup_table(names, slots)] == [owner[k] for k in range(slots)]
+
+
+def test_columns_of_any_name_are_placed(spark):
+    frame = spark.createDataFrame([(1, 2, "x", {"k": 1}), (None, 3, "y", None)],
+                                  "doc_id long, _slot int, _shard string, `row.a` map<string, int>")
+    rows = sharding.assign_shards(frame, ["x", "y"], 101).collect()
+    assert sorted((r._slot, r._shard, r["row.a"]) for r in rows) == [(2, "x", {"k": 1}), (3, "y", None)]
+
+
+def test_null_ids_are_written_by_many_tasks(spark, tmp_path):
+    frame = spark.createDataFrame([(None, f"t{i}") for i in range(400)], "doc_id long, text string")
+    sharding.write_shards(frame, f"{tmp_path}/s", ["x", "y"], 101, rows_per_file=25)
+    back = spark.read.parquet(f"{tmp_path}/s")
+    # eight (shard, part) groups, of which some may fall to one task by their hashes
+    assert back.count() == 400 and len(back.inputFiles()) >= 4
+
+
 def test_shards_are_written_apart(spark, odd_docs, tmp_path):
     sharding.write_shards(odd_docs, f"{tmp_path}/s", ["x", "y"], 101)
     assert spark.read.parquet(f"{tmp_path}/s").count() == odd_docs.count()
