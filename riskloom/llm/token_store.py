@@ -168,12 +168,14 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int, i
 
     Documents are range-partitioned and sorted by id, so any number of them
     goes through bounded tasks; a shard holds about ``shard_ids`` ids.  Null
-    ids come first; equal ids are ordered by text, repeated rows are written
+    ids come first; equal ids are ordered by a hash of the text, so that they
+    (null ids, too) go to many tasks; repeated rows are written
     once each; a null text is empty and gives the end id alone; an empty table
     gives no shard.  ``block`` is at most 65,535.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    digest = F.xxhash64("text")
+    rows = rows.repartitionByRange("doc_id", digest).sortWithinPartitions("doc_id", digest, "text")
     (rows.mapInArrow(_write(tokenizer_path, end_id, shard_ids, block, percentile),
                      "part int, shard int, start long, n_ids long, doc_id array<long>, payload binary")
      .write.option("compression", "none").parquet(path))
