@@ -1,11 +1,14 @@
 """Embedding near-dedup (operator 2).
 
-Sorted projection passes: each pass draws random hyperplanes, orders the
-vectors of a label lexicographically by their concatenated sign bits, and
-compares each vector with its neighbours in windows of that order.  Verified
-links of all passes are united to components.  All passes go through one
-range shuffle by (pass, label, bits), so a label of any size is dealt to many
-tasks.
+Sorted projection passes: each pass draws random hyperplanes through the mean
+of a label's unit vectors, orders the label's vectors lexicographically by
+their concatenated sign bits, and compares each vector with its neighbours in
+windows of that order.  Verified links of all passes are united to components.
+All passes go through one range shuffle by (pass, label, bits), so a label of
+any size is dealt to many tasks.  Windows go on across the edge of two tasks'
+ranges: the rows next to it are compared by a second, small grouping.  (A range
+of fewer rows than a window ends the window there; the other passes have
+other ranges.)
 
 An exact check follows: within a component that the passes have found, all
 vectors are compared in tiles, so that ``n_links`` counts every link of the
@@ -21,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,7 +36,10 @@ from .simhash import forest
 
 KEYED = pa.schema([("pass", pa.int32()), ("label", pa.string()), ("dim", pa.int32()), ("key", pa.binary()),
                    ("node", pa.int64()), ("vec", pa.list_(pa.float64()))])
+SHAPE = "pass int, label string, dim int, key binary, node long, vec array<double>"
 EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+FOUND = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("edge", pa.int32()), *KEYED])
+SUMS = pa.schema([("label", pa.string()), ("dim", pa.int32()), ("total", pa.list_(pa.float64())), ("n", pa.int64())])
 LINKS = pa.schema([("node", pa.int64()), ("links", pa.int64())])
 
 
@@ -50,17 +57,38 @@ def _rows(column: pa.Array) -> list[np.ndarray]:
     return np.split(flat, np.cumsum(sizes)[:-1]) if len(sizes) else []
 
 
+def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of a batch's unit vectors by label and dimension."""
+    for batch in batches:
+        totals: dict[tuple, list] = {}
+        for label, vec in zip(batch.column("label").to_pylist(), _rows(batch.column("vec")), strict=True):
+            totals.setdefault((label, len(vec)), []).append(vec)
+        yield record(SUMS, label=[k[0] for k in totals], dim=[k[1] for k in totals],
+                     total=[units(np.stack(v)).sum(axis=0) for v in totals.values()], n=[len(v) for v in totals.values()])
+
+
+def means(nodes: DataFrame) -> DataFrame:
+    """(label, dim, mean): the mean unit vector of every label and dimension."""
+    parts = nodes.select("label", "vec").mapInArrow(_sums, "label string, dim int, total array<double>, n long")
+    each = (parts.select("label", "dim", "n", F.posexplode("total")).groupBy("label", "dim", "pos")
+            .agg((F.sum("col") / F.sum("n")).alias("x")))
+    return each.groupBy("label", "dim").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("m")).select(
+        "label", "dim", F.col("m.x").alias("mean"))
+
+
 def _keys(passes: int, bits: int, seed: int):
     """Each vector once a pass, with the pass's sign bits as a sortable key."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            vecs, nodes, labels = _rows(batch.column("vec")), batch.column("node"), batch.column("label")
+            vecs, nodes, labels, middles = (_rows(batch.column("vec")), batch.column("node"), batch.column("label"),
+                                            _rows(batch.column("mean")))
             dims = np.array([len(v) for v in vecs])
             for dim in np.unique(dims):
                 which = np.flatnonzero(dims == dim)
                 matrix = np.stack([vecs[i] for i in which])
+                centred = units(matrix) - np.stack([middles[i] for i in which])
                 for number in range(passes):
-                    key = np.packbits(matrix @ planes(number, int(dim), bits, seed) > 0, axis=1)
+                    key = np.packbits(centred @ planes(number, int(dim), bits, seed) > 0, axis=1)
                     yield record(KEYED, **{"pass": np.full(len(which), number), "dim": np.full(len(which), dim)},
                                  label=labels.take(pa.array(which)), key=[k.tobytes() for k in key],
                                  node=nodes.take(pa.array(which)), vec=list(matrix))
@@ -77,31 +105,41 @@ def linked(left: np.ndarray, right: np.ndarray, threshold: float) -> np.ndarray:
     return cosine >= threshold
 
 
+def _spanning(nodes: np.ndarray, matrix: np.ndarray, old: int, threshold: float, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning edges of the links between sorted rows at most ``window`` apart, the later one past the first ``old``."""
+    def pairs():
+        for at in range(max(old, 1), len(nodes), window):
+            low = max(0, at - window)
+            rows = slice(at, min(at + window, len(nodes)))
+            i, j = np.nonzero(linked(matrix[rows], matrix[low:rows.stop], threshold))
+            i, j = i + at, j + low
+            ok = (j < i) & (i - j <= window)
+            yield i[ok], j[ok]
+
+    label = forest(len(nodes), pairs())
+    which = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[label[which]], nodes[which]
+
+
 def _windows(threshold: float, window: int):
-    """Verified links between rows at most ``window`` apart in the sorted stream, as spanning edges."""
+    """Spanning edges within a task's range, and with ``edge`` the range's first and last rows.
+
+    Edge ``p`` lies between the ranges of tasks ``p - 1`` and ``p``.
+    """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
         held: list[tuple] = []  # the last rows of the current (pass, label, dim)
+        first, head = None, 0  # the range's first group, and its rows handed out so far
 
-        def edges(group: list[tuple], old: int) -> Iterator[pa.RecordBatch]:
-            nodes, matrix = np.array([g[1] for g in group]), units(np.stack([g[2] for g in group]))
-
-            def pairs():
-                for at in range(max(old, 1), len(group), window):
-                    low = max(0, at - window)
-                    rows = slice(at, min(at + window, len(group)))
-                    i, j = np.nonzero(linked(matrix[rows], matrix[low:rows.stop], threshold))
-                    i, j = i + at, j + low
-                    ok = (j < i) & (i - j <= window)
-                    yield i[ok], j[ok]
-
-            label = forest(len(group), pairs())
-            which = np.flatnonzero(label != np.arange(len(group)))
-            if len(which):
-                yield record(EDGES, a=nodes[label[which]], b=nodes[which])
+        def border(rows: list[tuple], edge: int) -> pa.RecordBatch:
+            number, label, dim = zip(*(r[0] for r in rows), strict=True)
+            return record(FOUND, a=[None] * len(rows), b=[None] * len(rows), edge=[edge] * len(rows), **{"pass": number},
+                          label=label, dim=dim, key=[r[3] for r in rows], node=[r[1] for r in rows], vec=[r[2] for r in rows])
 
         for batch in batches:
             rows = list(zip(zip(*(batch.column(c).to_pylist() for c in ("pass", "label", "dim")), strict=True),
-                            batch.column("node").to_pylist(), _rows(batch.column("vec")), strict=True))
+                            batch.column("node").to_pylist(), _rows(batch.column("vec")),
+                            batch.column("key").to_pylist(), strict=True))
             at = 0
             while at < len(rows):
                 end = at
@@ -109,8 +147,30 @@ def _windows(threshold: float, window: int):
                     end += 1
                 old = held if held and held[0][0] == rows[at][0] else []
                 group = old + rows[at:end]
-                yield from edges(group, len(old))
+                a, b = _spanning(np.array([g[1] for g in group]), units(np.stack([g[2] for g in group])), len(old),
+                                 threshold, window)
+                if len(a):
+                    yield record(FOUND, a=a, b=b, **dict.fromkeys(["edge", *KEYED.names], [None] * len(a)))
+                first = first or rows[at][0]
+                if rows[at][0] == first and head < window:
+                    lead = rows[at:min(end, at + window - head)]
+                    head += len(lead)
+                    yield border(lead, part)
                 held, at = group[-window:], end
+        if held:
+            yield border(held, part + 1)
+
+    return run
+
+
+def _across(threshold: float, window: int):
+    """Spanning edges between the rows on either side of an edge, which come as one sorted list."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one in batch.column("rows"):
+                nodes = np.asarray(one.values.field("node"))
+                yield record(EDGES, **dict(zip("ab", _spanning(nodes, units(np.stack(_rows(one.values.field("vec")))), 0,
+                                                              threshold, window), strict=True)))
 
     return run
 
@@ -136,8 +196,19 @@ def _tiles(threshold: float):
     return run
 
 
+def sorted_links(keyed: DataFrame, threshold: float, window: int) -> DataFrame:
+    """Spanning edges (a, b) of the links of all rows at most ``window`` apart in the order of their keys."""
+    order = ["pass", "label", "dim", "key", "node"]
+    found = written(keyed.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .mapInArrow(_windows(threshold, window), f"a long, b long, edge int, {SHAPE}"))
+    borders = (found.where("edge is not null").groupBy("edge", "pass", "label", "dim")
+               .agg(F.sort_array(F.collect_list(F.struct("key", "node", "vec"))).alias("rows")))
+    return found.where("edge is null").select("a", "b").unionByName(
+        borders.select("rows").mapInArrow(_across(threshold, window), "a long, b long"))
+
+
 def embedding_components(vectors: DataFrame, threshold: float = 0.98, passes: int = 20, bits: int = 48,
-                         window: int = 64, tile: int = 1024, seed: int = 11, id_col: str = "vec_id",
+                         window: int = 64, tile: int = 1024, part: int = 16, seed: int = 11, id_col: str = "vec_id",
                          vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(vec_id, n_links, component_id, kept) of every vector.
 
@@ -159,22 +230,24 @@ def embedding_components(vectors: DataFrame, threshold: float = 0.98, passes: in
              .withColumn("vec", F.transform("vec", lambda x: x / F.col("top") + F.lit(0.0))).drop("top"))
     valid = written(valid)
     nodes = written(valid.groupBy("label", "vec").agg(F.min("vec_id").alias("node"), F.count("*").alias("copies")))
-    keyed = nodes.select("label", "node", "vec").mapInArrow(
-        _keys(passes, bits, seed), "pass int, label string, dim int, key binary, node long, vec array<double>")
-    order = ["pass", "label", "dim", "key", "node"]
-    edges = (keyed.repartitionByRange(*order).sortWithinPartitions(*order)
-             .mapInArrow(_windows(threshold, window), "a long, b long"))
-    labels = connected_components(edges).withColumnRenamed("label", "comp")
+    sized = nodes.withColumn("dim", F.size("vec"))
+    keyed = (sized.join(written(means(nodes)), ["label", "dim"]).select("label", "node", "vec", "mean")
+             .mapInArrow(_keys(passes, bits, seed), SHAPE))
+    labels = connected_components(sorted_links(keyed, threshold, window)).withColumnRenamed("label", "comp")
 
     members = written(nodes.select("node", "copies", "vec").join(labels, "node"))
     sizes = written(members.groupBy("comp").agg(F.ceil(F.count("*") / tile).cast("int").alias("tiles"),
                                                 F.min("node").alias("component_id")))
     dealt = members.join(sizes, "comp").withColumn("tile", F.pmod(F.xxhash64(F.lit(1), "node"), "tiles"))
-    tiles = written(dealt.groupBy("comp", "tile").agg(F.collect_list(F.struct("node", "copies", "vec")).alias("t")))
-    side = lambda s: tiles.select(
-        "comp", F.col("tile").alias(f"{s}_tile"), F.col("t.node").alias(f"{s}_nodes"),
+    # the tiles of a component meet in parts of ``part`` left tiles, so that a large component is many tasks
+    parts = F.ceil(F.col("tiles") / part).cast("int")
+    tiles = written(dealt.groupBy("comp", "tile", parts.alias("parts"))
+                    .agg(F.collect_list(F.struct("node", "copies", "vec")).alias("t")))
+    side = lambda s, dealt_to: tiles.select(
+        "comp", dealt_to.alias("part"), F.col("tile").alias(f"{s}_tile"), F.col("t.node").alias(f"{s}_nodes"),
         F.col("t.copies").alias(f"{s}_counts"), F.col("t.vec").alias(f"{s}_vecs"))
-    met = side("left").join(side("right"), "comp").where("left_tile <= right_tile").drop("comp")
+    left, right = side("left", F.pmod("tile", "parts")), side("right", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    met = left.join(right, ["comp", "part"]).where("left_tile <= right_tile").drop("comp", "part")
     links = met.mapInArrow(_tiles(threshold), "node long, links long").groupBy("node").agg(F.sum("links").alias("links"))
     component = members.select("node", "comp").join(sizes, "comp").select("node", "component_id")
     judged = written(nodes.join(links, "node", "left").join(component, "node", "left").select(

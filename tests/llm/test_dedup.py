@@ -6,7 +6,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from riskloom.llm import substring
-from riskloom.llm.embeddings import embedding_components
+from riskloom.llm.embeddings import SHAPE, embedding_components, sorted_links
 from riskloom.llm.graph import connected_components
 from riskloom.llm.simhash import fingerprint, shifts, simhash_components, simhash_links, tile_edges
 from riskloom.llm.substring import chosen, remove_repeats
@@ -208,6 +208,35 @@ def test_embeddings_equal_brute_force(spark, docs, window, passes, tile):
     assert got[None] == (0, None, True) and len(got) == len(names) + 1
 
 
+def test_windows_go_on_across_ranges(spark, docs):
+    """A chain in which only neighbours link stays one piece however many tasks sort it."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        chain = [(0, "a", 2, i.to_bytes(2, "big"), i, [float(np.cos(0.19 * i)), float(np.sin(0.19 * i))]) for i in range(30)]
+        keyed = spark.createDataFrame(chain, SHAPE).repartition(3)
+        assert keyed.repartitionByRange("key").select(F.spark_partition_id()).distinct().count() > 3
+        pairs = {(min(r), max(r)) for r in sorted_links(keyed, 0.98, 2).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    root = brute_components(30, lambda i, j: (min(i, j), max(i, j)) in pairs)
+    assert set(root) == {0}
+
+
+def test_embeddings_away_from_the_origin(spark, docs):
+    """Vectors whose mean cosine is 0.9: planes through the origin would hardly tell them apart."""
+    rng = np.random.default_rng(5)
+    dim, n = 32, 3000
+    base = 3 * np.ones(dim) + rng.standard_normal((n, dim))
+    base[n // 2:] = base[:n // 2] + 0.5 * rng.standard_normal((n // 2, dim))
+    unit = base / np.linalg.norm(base, axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.98) & ~np.eye(n, dtype=bool)
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(base)], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r for r in embedding_components(frame.repartition(8), tile=100, part=3).collect()}
+    root = brute_components(n, lambda i, j: near[i, j])
+    assert near.sum() > 2000 and np.mean([got[i].n_links == near[i].sum() for i in range(n)]) >= 0.999
+    assert np.mean([got[i].component_id == root[i] for i in range(n)]) >= 0.999
+
+
 def test_embeddings_of_nothing(spark, docs):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert embedding_components(empty).collect() == []
