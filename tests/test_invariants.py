@@ -82,3 +82,27 @@ def test_smote_parity_and_between_minority_rows(spark):
     hi = [max(v[i] for v in minority) for i in range(len(minority[0]))]
     for r in syn:
         assert all(lo[i] - 1e-9 <= x <= hi[i] + 1e-9 for i, x in enumerate(r.embedding))
+
+
+@pytest.mark.parametrize("kind", ["constant", "text", "nulls", "nan"])
+@pytest.mark.parametrize("asc", [True, False])
+def test_ranks_of_an_order_that_the_first_column_does_not_split(spark, kind, asc):
+    from riskloom.plans.running import bucketed, exact_rank
+
+    lead = {"constant": lambda i: 1.0, "text": lambda i: "xyz"[i % 3], "nulls": lambda i: None if i % 2 else float(i),
+            "nan": lambda i: None if i % 97 == 0 else float("nan") if i % 89 == 0 else float(i)}[kind]
+    rows = [(i, lead(i), "ab"[i % 2]) for i in range(2000)]
+    df = spark.createDataFrame(rows, f"id long, lead {'string' if kind == 'text' else 'double'}, cls string").repartition(6)
+    order = [("lead", asc), ("id", not asc)]
+    sizes = [r["count"] for r in bucketed(df, order, 10).groupBy("_bucket").count().collect()]
+    assert len(sizes) >= 10 and max(sizes) <= 400
+    got = {(r.cls, r.rank): r.id for r in exact_rank(df, ["cls"], order, rows_per_bucket=200).collect()}
+
+    def key(r):  # Spark's order: NULL, values, NaN
+        v = r[1]
+        return (0, 0) if v is None else (2, 0) if v != v else (1, v)
+
+    for cls in "ab":
+        mine = sorted((r for r in rows if r[2] == cls), key=lambda r: r[0], reverse=asc)
+        mine.sort(key=key, reverse=not asc)
+        assert [got[cls, i + 1] for i in range(len(mine))] == [r[0] for r in mine]
