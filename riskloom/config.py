@@ -143,7 +143,9 @@ LR_TUNE_C = [0.001, 0.01, 0.1, 1, 10, 100]
 # Our own defaults (not from the reference)
 # ---------------------------------------------------------------------------
 
-# Forest depth: Spark caps at 30; 15 keeps the driver-side model small.
+# Spark's limit of a tree's depth; stands for "unlimited" and for anything deeper.
+MAX_TREE_DEPTH = 30
+# Depth that stands for "unlimited" in searches, where it is a setting of its own.
 RF_DEFAULT_MAX_DEPTH = 15
 # Rows per bucket in the two-level rank / running-sum plans.
 ROWS_PER_BUCKET = 1 << 20

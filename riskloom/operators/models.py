@@ -7,6 +7,7 @@ into Spark's and add a ``score`` column (probability of class 1).
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark import keyword_only
@@ -124,14 +125,23 @@ def logistic_model(**kw) -> SkLogisticRegression:
 
 
 # --------------------------------------------------------------------- MD3
+def forest_depth(max_depth: int | None) -> int:
+    """The depth that stands for ``max_depth`` (None: unlimited): Spark's limit where it is beyond that, with a warning."""
+    if max_depth is not None and max_depth <= config.MAX_TREE_DEPTH:
+        return max_depth
+    if max_depth is not None:
+        warnings.warn(f"trees of depth {max_depth} are grown to Spark's limit of {config.MAX_TREE_DEPTH}", stacklevel=3)
+    return config.MAX_TREE_DEPTH
+
+
 def random_forest_model(label: str = "label", features: str = "features", weight: str | None = None,
                         n_estimators: int = config.RANDOM_FOREST_PARAMS["n_estimators"],
                         max_depth: int | None = None,
                         min_samples_leaf: int = config.RANDOM_FOREST_PARAMS["min_samples_leaf"],
                         bootstrap: bool = True, criterion: str = "gini",
                         seed: int = config.RANDOM_STATE) -> RandomForestClassifier:
-    """MD3: ``max_depth=None`` becomes our default depth (Spark caps at 30)."""
-    depth = min(30, max_depth) if max_depth is not None else config.RF_DEFAULT_MAX_DEPTH
+    """MD3: ``max_depth`` as in `forest_depth`."""
+    depth = forest_depth(max_depth)
     # more node statistics per pass and cached node ids: fewer passes over the data
     kw = dict(labelCol=label, featuresCol=features, numTrees=n_estimators, maxDepth=depth,
               minInstancesPerNode=min_samples_leaf, bootstrap=bootstrap, impurity=criterion,
