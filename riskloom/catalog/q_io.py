@@ -26,6 +26,21 @@ def csv_roundtrip(spark, sf):
     return back.select(*features, label)
 
 
+@register("csv_quarantine",
+          "SELECT CASE WHEN o_custkey % 10 <> 0 THEN o_orderkey END AS o_orderkey, "
+          "CASE WHEN o_custkey % 10 <> 0 AND o_custkey % 10 <> 1 THEN o_totalprice END AS o_totalprice, "
+          "CASE WHEN o_custkey % 10 <> 0 THEN o_orderpriority END AS o_orderpriority, "
+          "CASE WHEN o_custkey % 10 = 0 THEN o_orderkey || ',unpriced,' || o_orderpriority END AS line FROM orders",
+          operators="IO1")
+def csv_quarantine(spark, sf):
+    """Orders as CSV in which some prices are a word and some an NA token: rows that load, and the lines that don't."""
+    price = "CASE o_custkey % 10 WHEN 0 THEN 'unpriced' WHEN 1 THEN 'N/A' ELSE CAST(o_totalprice AS STRING) END AS o_totalprice"
+    path = f"{ensure_checkpoint_dir(spark)}/csv-{uuid.uuid4().hex}"
+    IO.save(table(spark, sf, "orders").selectExpr("o_orderkey", price, "o_orderpriority"), path, "csv")
+    good, bad = IO.load_quarantined(spark, path, "o_orderkey long, o_totalprice double, o_orderpriority string")
+    return good.unionByName(bad, allowMissingColumns=True)
+
+
 @register("markdown_report", None, operators="IO4, EV8")
 def markdown_report(spark, sf):
     from riskloom.catalog.q_metrics import long_scored
