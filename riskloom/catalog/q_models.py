@@ -6,19 +6,22 @@ Model fits have no SQL twin, so most entries are rows-only; the encoders
 
 from __future__ import annotations
 
+import uuid
 
 import numpy as np
 from pyspark.sql import functions as F
 
 from riskloom import config
-from riskloom.catalog.registry import register, table, view, view_sql
+from riskloom.catalog.q_features import _health_sql
+from riskloom.catalog.registry import REGISTRY, register, table, view, view_sql
 from riskloom.operators import encode as EN
+from riskloom.operators import features as FE
 from riskloom.operators import metrics as M
 from riskloom.operators import models as MD
 from riskloom.operators import tune as TU
 from riskloom.operators.balance import with_class_weights
 from riskloom.operators.boost import SecondOrderBoosting
-from riskloom.session import ensure_checkpoint_dir
+from riskloom.session import ensure_checkpoint_dir, shared_dir
 from riskloom.workflow import default_estimators, prepare, run, save_reports
 
 _SHORT = ["lr", "rf", "xgb"]
@@ -78,6 +81,42 @@ def exact_imputer_pipeline(spark, sf):
     return pipe.fit(pn).transform(pn)
 
 
+def _reloaded(spark, model):
+    """The fitted pipeline as another application would load it."""
+    from pyspark.ml import PipelineModel
+
+    path = f"{shared_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    model.write().save(path)
+    return PipelineModel.load(path)
+
+
+@register("saved_preparation",
+          "SELECT p_partkey, p_brand, p_size, (p_size - avg(p_size) OVER ()) / stddev_pop(p_size) OVER () AS scaled FROM ("
+          + REGISTRY["exact_imputer_pipeline"].sql + ") AS q", ["scaled"], "IM6, EN2, MD1")
+def saved_preparation(spark, sf):
+    """A fitted preparation, saved and loaded again, applied to the rows."""
+    from pyspark.ml import Pipeline
+
+    pn = view(spark, sf, "part_n").select("p_partkey", "p_size", "p_brand")
+    pipe = Pipeline(stages=[EN.ExactImputer(inputCols=["p_size"], strategy="median"),
+                            EN.ExactImputer(inputCols=["p_brand"], strategy="most_frequent"),
+                            EN.PopulationScaler(inputCols=["p_size"], outputCols=["scaled"])])
+    return _reloaded(spark, pipe.fit(pn)).transform(pn).select("p_partkey", "p_brand", "p_size", "scaled")
+
+
+@register("saved_risk_scores",
+          REGISTRY["medical_risk_score"].sql.replace("SELECT ", f"SELECT {_health_sql()} AS health_risk_score, ", 1),
+          ["health_risk_score", *REGISTRY["medical_risk_score"].round_cols], "FE9, FE10")
+def saved_risk_scores(spark, sf):
+    """Both risk scores as stages of a pipeline that was saved and loaded again."""
+    from pyspark.ml import PipelineModel
+
+    stages = [FE.HealthRiskScore(), FE.MedicalRiskScore()]
+    scored = _reloaded(spark, PipelineModel(stages)).transform(view(spark, sf, "patients"))
+    return scored.select("health_risk_score", "age_risk", "bp_risk", "cholesterol_risk", "bmi_risk", "glucose_risk",
+                         "diabetes_combined_risk", "cv_risk_score")
+
+
 @register("logistic_coefficients", None, operators="MD2, MD6, EN1, EN3, EN5")
 def logistic_coefficients(spark, sf):
     p, train = _prepared(spark, sf)

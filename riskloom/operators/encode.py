@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskloom.operators.impute import fill, mode_values
+from riskloom.operators.persist import Fitted, Stored
 from riskloom.plans.quantiles import exact_median
 
 
@@ -21,10 +22,14 @@ class _Strategy(Params):
                      typeConverter=TypeConverters.toString)
 
 
-class ExactImputerModel(Model, HasInputCols, HasOutputCols):
+class ExactImputerModel(Model, HasInputCols, HasOutputCols, Fitted):
     def __init__(self, values: dict | None = None):
         super().__init__()
-        self.values = values or {}
+        self._set(state=values or {})
+
+    @property
+    def values(self) -> dict:
+        return self.learnt()
 
     def _transform(self, df: DataFrame) -> DataFrame:
         ins, outs = self.getInputCols(), self.getOutputCols()
@@ -33,7 +38,7 @@ class ExactImputerModel(Model, HasInputCols, HasOutputCols):
         return filled
 
 
-class ExactImputer(Estimator, HasInputCols, HasOutputCols, _Strategy):
+class ExactImputer(Estimator, HasInputCols, HasOutputCols, _Strategy, Stored):
     """IM6/IM7: median (exact, interpolated), mean, or most frequent (strings too).
 
     Spark's ``Imputer`` gives an element of the data for the median and
@@ -64,10 +69,14 @@ class ExactImputer(Estimator, HasInputCols, HasOutputCols, _Strategy):
         return m
 
 
-class PopulationScalerModel(Model, HasInputCols, HasOutputCols):
+class PopulationScalerModel(Model, HasInputCols, HasOutputCols, Fitted):
     def __init__(self, stats: dict | None = None):
         super().__init__()
-        self.stats = stats or {}
+        self._set(state=stats or {})
+
+    @property
+    def stats(self) -> dict:
+        return self.learnt()
 
     def _transform(self, df: DataFrame) -> DataFrame:
         new = {}
@@ -78,7 +87,7 @@ class PopulationScalerModel(Model, HasInputCols, HasOutputCols):
         return df.withColumns(new)
 
 
-class PopulationScaler(Estimator, HasInputCols, HasOutputCols):
+class PopulationScaler(Estimator, HasInputCols, HasOutputCols, Stored):
     """EN2: z-score with the population std; a constant column scales to 0.
 
     (Spark's ``StandardScaler`` divides by the sample std.)  One aggregation

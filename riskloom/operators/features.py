@@ -12,6 +12,10 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from itertools import combinations, combinations_with_replacement
 
+from pyspark import keyword_only
+from pyspark.ml import Transformer
+from pyspark.ml.param import Param, Params
+from pyspark.ml.param.shared import HasOutputCol
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -25,6 +29,7 @@ from riskloom.functions.expr import (
     value_map,
     yes_no,
 )
+from riskloom.operators.persist import Stored
 
 
 def _name(cols: Mapping[str, str] | None, role: str) -> str:
@@ -190,6 +195,36 @@ def medical_risk_score(df: DataFrame, cols: Mapping[str, str] | None = None,
     return df.withColumns(new) if new else df
 
 
+class _Roles(Params):
+    cols = Param(Params._dummy(), "cols", "column of each role, where it isn't the role's name")
+
+
+class HealthRiskScore(Transformer, _Roles, HasOutputCol, Stored):
+    """FE9 as a pipeline stage."""
+
+    @keyword_only
+    def __init__(self, cols=None, outputCol="health_risk_score"):
+        super().__init__()
+        self._setDefault(cols={}, outputCol="health_risk_score")
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return health_risk_score(df, self.getOrDefault(self.cols), out=self.getOutputCol())
+
+
+class MedicalRiskScore(Transformer, _Roles, Stored):
+    """FE10 as a pipeline stage."""
+
+    @keyword_only
+    def __init__(self, cols=None):
+        super().__init__()
+        self._setDefault(cols={})
+        self._set(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        return medical_risk_score(df, self.getOrDefault(self.cols))
+
+
 def create_risk_clusters(df: DataFrame, cols: Mapping[str, str] | None = None,
                          mapping=config.BINARY_MAP) -> DataFrame:
     """FE11: ordinal-mapped lifestyle/medical factors and their row sums.

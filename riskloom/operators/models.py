@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from riskloom import config
 from riskloom.functions.expr import cut
 from riskloom.operators.balance import get_class_weights
+from riskloom.operators.persist import Fitted, Stored
 from riskloom.session import written
 
 
@@ -35,10 +36,14 @@ def with_score(df: DataFrame, probability: str = "probability", out: str = "scor
 
 
 # --------------------------------------------------------------------- MD1
-class MajorityModel(Model, HasPredictionCol):
+class MajorityModel(Model, HasPredictionCol, Fitted):
     def __init__(self, majority=0):
         super().__init__()
-        self.majority = majority
+        self._set(state=[majority])
+
+    @property
+    def majority(self):
+        return self.learnt()[0]
 
     def _transform(self, df: DataFrame) -> DataFrame:
         p1 = 1.0 if self.majority == 1 else 0.0
@@ -48,7 +53,7 @@ class MajorityModel(Model, HasPredictionCol):
             "score": F.lit(p1)})
 
 
-class MajorityClassifier(Estimator, HasLabelCol):
+class MajorityClassifier(Estimator, HasLabelCol, Stored):
     """MD1: always the most frequent class (lowest on ties), probability 1 for it."""
 
     @keyword_only
@@ -72,7 +77,7 @@ class _LRParams(Params):
     maxIter = Param(Params._dummy(), "maxIter", "max iterations", TypeConverters.toInt)
 
 
-class SkLogisticRegression(Estimator, HasFeaturesCol, HasLabelCol, _LRParams):
+class SkLogisticRegression(Estimator, HasFeaturesCol, HasLabelCol, _LRParams, Stored):
     """MD2: logistic regression with ``C`` / ``penalty`` / ``class_weight``.
 
     The reference minimises ``C * sum(w_i loss_i) + penalty``; Spark
