@@ -43,9 +43,9 @@ def csv_quarantine(spark, sf):
 
 @register("markdown_report", None, operators="IO4, EV8")
 def markdown_report(spark, sf):
-    from riskloom.catalog.q_metrics import long_scored
+    from riskloom.catalog.q_metrics import scored_by
 
-    slices = compute_slice_metrics(long_scored(spark, sf).where("model = 'score_mix'"),
+    slices = compute_slice_metrics(scored_by(spark, sf, "score_mix"),
                                    slice_features=["l_linestatus", "qty_band"])
     return IO.to_markdown_lines(slices)
 

@@ -20,6 +20,12 @@ LONG_SQL = " UNION ALL ".join(
     f"CASE WHEN {m} >= 0.5 THEN 1 ELSE 0 END AS prediction FROM {S} AS s" for m in MODELS)
 
 
+def scored_by(spark, sf, model):
+    """The rows of one model."""
+    return view(spark, sf, "scored").select("l_linestatus", "qty_band", "label", F.col(model).alias("score"),
+                                            (F.col(model) >= 0.5).cast("int").alias("prediction"))
+
+
 def long_scored(spark, sf):
     s = view(spark, sf, "scored")
     ids = ["l_linestatus", "qty_band", "label"]
@@ -173,7 +179,7 @@ def positive_rate(spark, sf):
           "CAST(sum(CASE WHEN label = 1 AND prediction = 0 THEN 1 ELSE 0 END) AS BIGINT) AS false_negative_count "
           f"FROM ({LONG_SQL}) AS l WHERE model = 'score_mix'", ["misclassification_rate"], "EV7")
 def misclassifications(spark, sf):
-    return M.misclassification_summary(long_scored(spark, sf).where("model = 'score_mix'"))
+    return M.misclassification_summary(scored_by(spark, sf, "score_mix"))
 
 
 @register("misclassification_stats",
@@ -185,7 +191,7 @@ def misclassifications(spark, sf):
           + LONG_SQL + ") AS l WHERE model = 'score_mix') AS t WHERE error_type IS NOT NULL GROUP BY error_type",
           ["mean", "std", "q25", "q50", "q75"], "EV7")
 def misclassification_stats(spark, sf):
-    return M.misclassification_stats(long_scored(spark, sf).where("model = 'score_mix'"), ["score"])
+    return M.misclassification_stats(scored_by(spark, sf, "score_mix"), ["score"])
 
 
 def _slice_src(columns: dict[str, str]) -> str:
@@ -208,11 +214,11 @@ _NULL_BAND = "CASE WHEN qty_band <> 'q10-30' THEN qty_band END"
 
 @register("slice_metrics_null", _slice_sql(_slice_src({"band": _NULL_BAND})), _METRIC_DOUBLES, "EV8, PR6")
 def slice_metrics_null(spark, sf):
-    df = long_scored(spark, sf).where("model = 'score_mix'").withColumn("band", F.expr(_NULL_BAND))
+    df = scored_by(spark, sf, "score_mix").withColumn("band", F.expr(_NULL_BAND))
     return FA.compute_slice_metrics(df, slice_features=["band"])
 
 
 @register("slice_metrics", _slice_sql(_SLICE_SRC), _METRIC_DOUBLES, "EV8")
 def slice_metrics(spark, sf):
-    df = long_scored(spark, sf).where("model = 'score_mix'")
+    df = scored_by(spark, sf, "score_mix")
     return FA.compute_slice_metrics(df, slice_features=["l_linestatus", "qty_band"])
