@@ -43,8 +43,9 @@ def test_split_and_folds_follow_from_one_rank(spark):
     assert key(both) == key(apart)
 
 
-def test_only_the_encoded_rows_stay(spark):
+def test_only_the_encoded_rows_of_a_large_table_stay(spark, monkeypatch):
     """Between its steps the preparation keeps no checkpoint and no table."""
+    monkeypatch.setattr(config, "ROWS_PER_BUCKET", 100)
     rows = [(float(i % 40 + 30), None if i % 9 == 0 else float(i % 17), "Yes" if i % 2 else "No", "Yes" if i % 5 == 0 else "No")
             for i in range(300)]
     df = spark.createDataFrame(rows, "age double, bmi double, smoking string, heart_disease_status string")
