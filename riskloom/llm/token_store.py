@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from riskloom.session import shared_dir
 
-from .common import record, slices, utf8
+from .common import record, slices
 from .tokens import encoder
 
 MAGIC = b"PFR1"
@@ -139,9 +139,9 @@ def _write(path: str, end_id: int, shard_ids: int, block: int, percentile: float
                           payload=[write_shard(docs, block, percentile)])
 
         for batch in slices(batches):
-            for name, raw in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text")), strict=True):
+            for name, ids in zip(batch.column("doc_id").to_pylist(), enc.all(batch.column("text")), strict=True):
                 names.append(name)
-                docs.append(enc.ids(raw) + end)
+                docs.append(ids + end)
                 size += len(docs[-1])
                 if size >= 4 * shard_ids:
                     yield shard()

@@ -3,7 +3,9 @@
 A tokenizer that drops white space and never lets a piece span it gives the
 same ids for a text as for its blank-separated words one after the other.
 `DocEncoder` uses that: every distinct word of a Python worker is encoded
-once by the library and looked up afterwards.  Tokenizers of another kind go
+once by the library and looked up afterwards; the words of many texts are
+split, numbered and put together again as Arrow and NumPy columns, and those
+not met before go to the library together.  Tokenizers of another kind go
 through the library text by text.
 """
 
@@ -14,13 +16,22 @@ import json
 import os
 import struct
 import unicodedata
+from collections.abc import Iterable
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+from .common import utf8
 
 #: The splitting rule (fixed value of the file format) that never crosses white space.
 WORD_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-#: Marks that form one piece of their own after a word character.
-MARKS = b".,;:!?|)"
+#: Marks that form one piece of their own after a word character: no letters, digits, or parts of "'s" or of a special string's end.
+MARKS = b".,;:!?|)#$%&*\"+-/=@\\]^_`}~"
 #: Below this, letters keep their case rules in every version of Unicode, and lowering one gives one letter.
 LATIN_END = "\u0130"
+#: Stands between letters-only words that go to the library together: no letter has it among its bytes.
+BETWEEN = "!"
 
 
 @functools.cache
@@ -85,27 +96,102 @@ class DocEncoder(dict):
     def whole(self, raw: bytes) -> bytes:
         return packed(self.tok.encode(raw.decode("utf-8", "replace"), add_special_tokens=False).ids)
 
-    def fresh(self, word: bytes) -> bytes:
+    @functools.cached_property
+    def joined(self) -> tuple:
+        """The library's tokenizer of the same model for byte-level words with `BETWEEN` between them, and the ids of that."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        plain = Tokenizer(self.tok.model)
+        plain.pre_tokenizer = pre_tokenizers.Split(BETWEEN, "isolated")
+        return plain, [t.id for t in self.tok.model.tokenize(BETWEEN)]
+
+    def parts(self, word: bytes) -> tuple[bytes, bytes]:
+        """A word and the marks at its end that are a piece of their own (or nothing)."""
         base = word.rstrip(MARKS)
-        if len(base) < len(word) and base[-1:].isalnum():  # the marks are a piece of their own
-            return self[base] + self[word[len(base):]]
-        if self.mark not in word:
-            text = word.decode("utf-8", "replace")
-            if not text.isascii():
-                text = unicodedata.normalize("NFC", text)
-            if text.isalpha() and max(text) < LATIN_END:  # letters only: one piece, and lower case is letter by letter
-                return packed([t.id for t in self.tok.model.tokenize(byte_level(text.lower()))])
+        return (base, word[len(base):]) if len(base) < len(word) and base[-1:].isalnum() else (word, b"")
+
+    def letters(self, word: bytes) -> str:
+        """The word in lower case if it is letters only: one piece, and lower case is letter by letter; else nothing."""
+        if word.isalpha():
+            return word.lower().decode()
+        if self.mark in word:
+            return ""
+        text = word.decode("utf-8", "replace")
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text)
+        return text.lower() if text.isalpha() and max(text) < LATIN_END else ""
+
+    def fresh(self, word: bytes) -> bytes:
+        base, marks = self.parts(word)
+        if marks:
+            return self[base] + self[marks]
+        if text := self.letters(word):
+            return packed([t.id for t in self.tok.model.tokenize(byte_level(text))])
         return self.whole(word)
 
     def __missing__(self, word: bytes) -> bytes:
         ids = self.old.get(word)
         if ids is None:
             ids = self.fresh(word)
+        self.renew()
+        self[word] = ids
+        return ids
+
+    def renew(self) -> None:
         if len(self) >= self.room:
             self.old = dict(self)
             self.clear()
-        self[word] = ids
-        return ids
+
+    def learn(self, words: Iterable[bytes], at_once: int = 256) -> None:
+        """Ids of the letters-only words among new ``words``, ``at_once`` words a text of the library."""
+        plain, between = self.joined
+        if len(between) != 1:
+            return  # they are looked up one by one
+        texts = {w: text for w in words if (text := self.letters(w))}
+        names = list(texts)
+        for i in range(0, len(names), at_once):
+            self.renew()
+            some = names[i:i + at_once]
+            text = byte_level(BETWEEN.join([texts[w] for w in some]))
+            ids = np.array(plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
+            ends = [*(4 * np.flatnonzero(ids == between[0])).tolist(), 4 * len(ids)]
+            raw, start = ids.tobytes(), 0
+            for word, end in zip(some, ends, strict=True):
+                self[word] = raw[start:end]
+                start = end + 4
+
+    def look_up(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; marks at a word's end are looked up apart."""
+        found = list(map(self.get, words))
+        bases, marks = {}, {}
+        for i, ids in enumerate(found):
+            if ids is None:
+                bases[i], marks[i] = self.parts(words[i])
+        self.learn({w for w in bases.values() if w not in self and w not in self.old})
+        for i, base in bases.items():
+            found[i] = self[base] + self[marks[i]] if marks[i] else self[base]
+        return found
+
+    def all(self, texts: pa.Array) -> list[bytes]:
+        """`ids` of every text of an Arrow column (null: empty)."""
+        if not self.words or not self.mark:
+            return [self.ids(raw) for raw in utf8(texts)]
+        special = pc.fill_null(pc.match_substring(texts, self.mark.decode()), False)
+        plain = pc.if_else(special, pa.scalar("", texts.type), pc.fill_null(texts, ""))
+        words = pc.ascii_split_whitespace(pc.ascii_lower(plain))
+        coded = words.flatten().dictionary_encode()
+        found = self.look_up(coded.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        each, of_word = np.frombuffer(b"".join(found), "<u4"), coded.indices.to_numpy()
+        n = sizes[of_word]
+        ends = np.concatenate([[0], np.cumsum(n)])
+        shift = (np.cumsum(sizes) - sizes)[of_word] - ends[:-1]  # from a place in the output to one in `each`
+        raw = each[np.arange(ends[-1]) + np.repeat(shift, n)].tobytes()
+        to = 4 * ends[np.concatenate([[0], np.cumsum(pc.list_value_length(words).to_numpy())])]
+        out = [raw[a:b] for a, b in zip(to[:-1].tolist(), to[1:].tolist(), strict=True)]
+        for i in np.flatnonzero(special.to_numpy(zero_copy_only=False)).tolist():
+            out[i] = self.ids(utf8(texts.slice(i, 1))[0])
+        return out
 
     def ids(self, raw: bytes) -> bytes:
         if not self.words or not self.mark:

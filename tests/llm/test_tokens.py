@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -38,6 +39,26 @@ def test_pre_tokens_give_the_count_of_the_whole_text(a, b):
     assert special + sum(len(tok.model.tokenize(byte_level(w))) for w in pieces) == len(tok.encode(a + b, add_special_tokens=False).ids)
 
 
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.none() | st.builds(str.__add__, TEXT, TEXT) | st.sampled_from(["it&&& (a##) x_y- b'&", "\x0b é### \x00 '' a<| b|>"]), max_size=6),
+       st.integers(0, 2), st.sampled_from([pa.string(), pa.large_string()]))
+def test_columns_give_the_ids_of_the_whole_texts(texts, skip, kind):
+    tok = ENCODER.tok
+    column = pa.array([None] * skip + texts, kind).slice(skip)
+    assert ENCODER.all(column) == [np.array(tok.encode(t or "", add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+
+def test_new_words_of_a_column_go_to_the_library_together(monkeypatch):
+    enc = DocEncoder(WORDS)
+    names = [a + b + c for a in "abcdefgh" for b in "éaüo" for c in "klmnprst"]
+    text = " ".join(names) + " " + " ".join(f"{w}&&&" for w in names)
+    alone = []
+    monkeypatch.setattr(DocEncoder, "whole", lambda self, raw: alone.append(raw) or np.array(
+        self.tok.encode(raw.decode(), add_special_tokens=False).ids, "<u4").tobytes())
+    assert enc.all(pa.array([text, text]))[1] == np.array(enc.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+    assert alone == [b"&&&"] and len(enc) == len(names) + 1
+
+
 ENCODER, SPLIT = DocEncoder(WORDS, room=5), PreTokens(BYTES)
 
 
