@@ -27,7 +27,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from riskloom.session import written
 
-from .common import record, slices, utf8
+from .common import record, slices
 from .tokens import encoder
 
 CUT = pa.schema([("doc_id", pa.int64()), ("part", pa.int32()), ("piece", pa.int32()), ("start", pa.int64()),
@@ -111,8 +111,8 @@ def _cut(path: str, end_id: int, capacity: int):
         for batch in slices(batches):
             cols: dict[str, list] = {f.name: [] for f in CUT}
             names, parts = batch.column("doc_id").to_pylist(), batch.column("part").to_pylist()
-            for name, part, raw in zip(names, parts, utf8(batch.column("text")), strict=True):
-                ids = enc.ids(raw) + end
+            for name, part, ids in zip(names, parts, enc.all(batch.column("text")), strict=True):
+                ids += end
                 total = len(ids) // 4
                 for piece, start in enumerate(range(0, total, capacity)):
                     length = min(capacity, total - start)

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from riskloom.session import written
 
-from .common import record, slices, utf8
+from .common import record, slices
 from .tokens import encoder
 
 CUT = pa.schema([("doc_id", pa.int64()), ("doc_tokens", pa.int64()), ("full_crc", pa.list_(pa.int64())),
@@ -170,8 +170,8 @@ def _cut(path: str, end_id: int, capacity: int):
         enc, crc = encoder(path), zlib.crc32
         for batch in slices(batches):
             cols: dict[str, list] = {f.name: [] for f in CUT}
-            for raw in utf8(batch.column("text")):
-                ids = enc.ids(raw) + end
+            for ids in enc.all(batch.column("text")):
+                ids += end
                 n = len(ids) // 4
                 full, at = n // capacity, n // capacity * capacity
                 cols["doc_tokens"].append(n)
