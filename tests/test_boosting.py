@@ -141,3 +141,28 @@ def test_every_metric_of_a_search_comes_from_the_same_fits(spark, rows):
     table = tune.metric_table(spark, found).collect()
     assert len(table) == 6 and sum(r.best for r in table) == 3
     assert found.bestModel.coefficients.size == 4
+
+
+def test_sums_of_a_job_need_no_table_of_all_values():
+    """Gradients are summed a column at a time, over drawn rows and columns only; sums as of single rows."""
+    import tracemalloc
+
+    rng, n, features = np.random.default_rng(3), 2000, 90
+    bins = rng.integers(0, 8, (features, n)).astype(np.uint8)
+    label = (rng.random(n) < 0.3).astype(np.uint8)
+    block = B.Block({"block": 1, "n": n, "bins": bins.tobytes(), "label": label.tobytes(), "fold": np.zeros(n, np.int16).tobytes(),
+                     "held": np.zeros(n, np.uint8).tobytes(), "margins": b""}, features, 1)
+    job = B.Job(B.Setting(subsample=0.7, colsample=0.5, positive_weight=2.0))
+    job.begin()
+    job.tree.feature[0], job.tree.bin[0], job.level, job.open = 4, 3, 1, [1, 2]
+    tracemalloc.start()
+    found = dict(B.job_sums(block, 0, job, np.arange(features + 1) * 8))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < features * n * 8
+    weight = np.where(label == 1, 2.0, 1.0)
+    for node, rows in ((1, bins[4] <= 3), (2, bins[4] > 3)):
+        rows = rows & job.drawn(1, n)
+        g, h = ([[(v * weight)[rows & (bins[f] == b)].sum() for b in range(8)] for f in job.columns(features)]
+                for v in (0.5 - label, np.full(n, 0.25)))
+        np.testing.assert_allclose(found[node].reshape(2, -1), [np.ravel(g), np.ravel(h)], rtol=1e-12, atol=1e-12)
