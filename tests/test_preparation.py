@@ -54,3 +54,11 @@ def test_only_the_encoded_rows_of_a_large_table_stay(spark, monkeypatch, tmp_pat
     p = workflow.prepare(df)
     assert set(os.listdir(tmp_path)) == {os.path.basename(x.written_path) for x in (p.train, p.test)}
     assert p.train.count() + p.test.count() == df.distinct().count() and config.ROWS_PER_FILE > 300
+
+
+def test_medians_of_more_rows_than_a_sample_are_bracketed(spark, monkeypatch):
+    """A table of fewer rows than a bucket, but more than the sample, does not stack its values either."""
+    monkeypatch.setattr(quantiles, "SAMPLE", 1000)
+    monkeypatch.setattr(quantiles, "quantile_table", None)
+    rows = spark.range(1001).selectExpr("cast(id * 5 % 1001 as double) AS v", "cast(id % 2 as double) AS w")
+    assert exact_median(rows, ["v", "w"]) == {"v": 500.0, "w": 0.0}
